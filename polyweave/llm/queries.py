@@ -2,19 +2,47 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, quality
-from .common import table
+from . import encoding, exact_dedup, packing, quality, token_counts
+from .common import table, text_of
+
+RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document gets a fixed script of edits: a word put in, a stretch cut out, one replaced, and a line appended."""
+    place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.length(text_of("text")) + 1).cast("int")
+    edit = lambda start, length, put: F.struct(start.alias("start"), F.lit(length).alias("length"), put.alias("put"))
+    edits = F.array(
+        edit(place(1), 0, F.concat(F.lit(" edit"), F.col("doc_id").cast("string"))), edit(place(2), 40, F.lit("")),
+        edit(place(3), 12, F.lit("it's replaced")), edit(F.length(text_of("text")), 0, F.lit("\nAppended line.")),
+    )
+    return token_counts.edited_counts(table(spark, sf_dir, "documents").withColumn("edits", edits), RANK_FILE)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
+def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = encoding.encode_documents(table(spark, sf_dir, "documents"), RANK_FILE)
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.size("piece_starts").cast("long").alias("n_pieces"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.host_rules(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op7_quality_rules)}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents"), TOKENIZER_FILE))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op3_exact_dedup, op6_bpe_encode_decode, op7_quality_rules, op8_packing)}
 ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE, "op7_quality_rules": quality.ORACLE}
