@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, exact_dedup, packing, quality, token_counts
+from . import encoding, exact_dedup, near_dedup, packing, quality, token_counts
 from .common import table, text_of
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,6 +24,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.edited_counts(table(spark, sf_dir, "documents").withColumn("edits", edits), RANK_FILE)
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("n_chunks")
 
@@ -44,5 +48,5 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), TOKENIZER_FILE))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_exact_dedup, op6_bpe_encode_decode, op7_quality_rules, op8_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_exact_dedup, op6_bpe_encode_decode, op7_quality_rules, op8_packing)}
 ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE, "op7_quality_rules": quality.ORACLE}
