@@ -6,7 +6,7 @@
 2. Texts with the same words are one class from the start; only one of them goes on.
 3. In a bucket of a band, all are compared with one leader, not with each other: exact weighted Jaccard on the texts. The
    classes so far settle most buckets. Where members of a bucket are still in different classes and were not compared,
-   the next round takes twice as many leaders among them, until no bucket is left. So no link between texts that share a
+   the next round takes eight times as many leaders among them, until no bucket is left. So no link between texts that share a
    bucket is lost, and no bucket emits its square.
 
 The strength of the idf is moderate on purpose: in a group of copies that holds a third of all rows, full idf would weigh the
@@ -250,20 +250,21 @@ def verified(pairs: DataFrame, texts: DataFrame, weights, settings: Settings) ->
 def components(links: DataFrame) -> DataFrame:
     """uid, class: the smallest uid that links(a, b) connect it with. Links are drawn to ever smaller neighbours until only stars are left."""
     links = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    # Rounds end when the set of links no longer changes: its size and two sums over hashes of its members.
+    state = lambda x: x.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
+    before = state(links)
     while True:
         # large star: larger neighbours go to the smallest of the neighbourhood
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staged(large.where("u <> v").distinct(), "large-star")
+        large = staged(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
         # small star: smaller neighbours, and the node itself, go to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        small = staged(small, "small-star")
-        changed = small.exceptAll(links).limit(1).count() + links.exceptAll(small).limit(1).count()
-        links = small
-        if not changed:
+        links = staged(large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "small-star")
+        after = state(links)
+        if after == before:
             return links.select(F.col("u").alias("uid"), F.col("v").alias("class"))
+        before = after
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -287,33 +288,33 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     texts = source.select("text", *prints).join(wanted, ["print1", "print2"]).groupBy("uid").agg(F.first("text").alias("text"))
     texts = staged(texts, "candidate-texts")
 
-    classes, links, compared, leaders = None, None, None, 1
-    open_ = members
-    while True:
+    classes = spark.createDataFrame([], "uid bigint, class bigint")
+    compared = spark.createDataFrame([], "a bigint, b bigint, similarity double")
+    open_, leaders = members, 1
+    while not open_.isEmpty():
         # One leader for each slot of a bucket; at first the smallest uid, which is the same in all bands.
         slot, order = F.pmod(F.xxhash64("uid", F.lit(leaders)), F.lit(leaders)), F.xxhash64("uid", "bucket") if leaders > 1 else F.col("uid")
         heads = open_.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(order.alias("o"), "uid")).alias("head")).select("bucket", F.col("head.uid").alias("a"))
         pairs = open_.join(heads, "bucket").where("uid <> a").select(F.least("a", "uid").alias("a"), F.greatest("a", "uid").alias("b")).distinct()
-        if compared is not None:
-            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti").join(classes.select(F.col("uid").alias("a"), F.col("class").alias("ca")), "a", "left")
-            pairs = pairs.join(classes.select(F.col("uid").alias("b"), F.col("class").alias("cb")), "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
+        if leaders > 1:
+            of = lambda c: classes.select(F.col("uid").alias(c), F.col("class").alias(f"class_{c}"))
+            pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(class_a, a) <> coalesce(class_b, b)").select("a", "b")
+            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         fresh = staged(verified(pairs, texts, weights, settings), "compared")
-        compared = fresh if compared is None else compared.unionByName(fresh)
-        links = compared.where(F.col("similarity") >= settings.threshold)
-        classes = components(links)
-        # A bucket stays open while two members of different classes were not compared: fewer compared pairs across classes than there are.
+        compared = compared.unionByName(fresh)
+        linked = F.col("similarity") >= settings.threshold
+        if not fresh.where(linked).isEmpty():
+            classes = components(compared.where(linked))
+        # A bucket stays open while there are more pairs of its members across classes than were compared.
         inside = staged(open_.join(classes, "uid", "left").select("bucket", "uid", F.coalesce("class", "uid").alias("class")), "inside")
         by_class = inside.groupBy("bucket", "class").agg(F.count(F.lit(1)).cast("double").alias("k"))
         across = by_class.groupBy("bucket").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("q")).where("m * m > q").select("bucket", ((F.col("m") * F.col("m") - F.col("q")) / 2).alias("pairs"))
         spread = inside.join(across, "bucket")
-        one = spread.select("bucket", F.col("uid").alias("a"), F.col("class").alias("ca"))
-        two = spread.select("bucket", F.col("uid").alias("b"), F.col("class").alias("cb"))
-        known = compared.join(one, "a").join(two, ["bucket", "b"]).where("ca <> cb").groupBy("bucket").agg(F.count(F.lit(1)).alias("known"))
+        one, two = (spread.select("bucket", F.col("uid").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
+        known = compared.where(~linked).join(one, "a").join(two, ["bucket", "b"]).where("class_a <> class_b").groupBy("bucket").agg(F.count(F.lit(1)).alias("known"))
         still = across.join(known, "bucket", "left").where("pairs > coalesce(known, 0)").select("bucket")
         open_ = staged(open_.join(still, "bucket", "left_semi"), "open")
-        if open_.isEmpty():
-            break
-        leaders *= 2
+        leaders *= 8
     out = rows.join(classes.withColumnRenamed("uid", "rep"), "rep", "left").select("uid", "doc_id", F.coalesce("class", "rep").alias("class"))
     best = out.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best"), F.count(F.lit(1)).alias("class_size"))
     return out.join(best, "class").select("doc_id", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("uid") == F.col("best.uid")).alias("kept"))
