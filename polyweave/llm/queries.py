@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, encoding, exact_dedup, near_dedup, packing, quality, secrets, token_counts
+from . import chat, encoding, exact_dedup, near_dedup, packing, quality, secrets, token_counts, toxicity, warc
 from .common import table, text_of
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -36,6 +36,14 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.secrets(table(spark, sf_dir, "documents")))
 
 
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.derive(warc.responses_of_pages(table(spark, sf_dir, "pages")), "page_id")
+    return records.select(
+        "page_id", "warc_type", "record_id", "refers_to", "target_uri", "payload_digest", "block_digest",
+        F.octet_length("block").cast("long").alias("block_length"), F.sha2("block", 256).alias("block_sha256"), F.sha2("source_headers", 256).alias("headers_sha256"),
+    )
+
+
 def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = encoding.encode_documents(table(spark, sf_dir, "documents"), RANK_FILE)
     return done.select(
@@ -59,5 +67,10 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_trees(chat.chains(rows.unionByName(extra))))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_exact_dedup, op4_secret_scans, op6_bpe_encode_decode, op7_quality_rules, op8_packing, op9_chat_formatting)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_near_dedup, op3_exact_dedup, op4_secret_scans, op5_warc_derivatives, op6_bpe_encode_decode, op7_quality_rules, op8_packing, op9_chat_formatting, op10_toxicity)}
 ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE, "op7_quality_rules": quality.ORACLE, "op9_chat_formatting": chat.ORACLE}
