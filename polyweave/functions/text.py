@@ -124,7 +124,7 @@ def clean_paragraph(x: Column) -> Column:
 
     A fold over the lines, with what is written so far and the open row's cells.
     """
-    cells = lambda s: F.transform(F.split(F.regexp_replace(s, r"^\||\|$", ""), r"\|"), F.trim)
+    cells = lambda s: F.transform(F.split(F.regexp_replace(s, r"^\||\|$", ""), r"\|"), lambda c: F.trim(c))
     none = F.array().cast("array<string>")
     written = lambda acc: F.when(F.size(acc["row"]) > 0, F.concat(acc["out"], F.array_join(acc["row"], "\t"))).otherwise(acc["out"])
     ended = lambda out: F.when(out.endswith("\n"), out).otherwise(F.concat(out, F.lit("\n")))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.staging import materialised
+
 
 def member_edges(alignments: DataFrame, key: str = "record") -> DataFrame:
     """Alignment rows to edges between nodes lang:index; the first source member is the hub of each row."""
@@ -13,7 +15,7 @@ def member_edges(alignments: DataFrame, key: str = "record") -> DataFrame:
     return alignments.select(key, F.concat(named("src", 1), named("dst", 2)).alias("nodes")).select(key, F.get("nodes", F.lit(0)).alias("u"), F.explode("nodes").alias("v"))
 
 
-def components(edges: DataFrame, key: str = "record", stage=lambda df: df.cache()) -> DataFrame:
+def components(edges: DataFrame, key: str = "record", stage=materialised) -> DataFrame:
     """key, node, block: the smallest node that it is connected with, by labels that pass along edges and jump to labels' labels."""
     both = edges.select(key, "u", "v").union(edges.select(key, F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     labels = stage(both.groupBy(key, "u").agg(F.min(F.least("u", "v")).alias("label")).withColumnRenamed("u", "node"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.staging import materialised
+
 STATES = "url string, status int"
 
 
@@ -17,7 +19,7 @@ def step(states: DataFrame, links: DataFrame) -> DataFrame:
     return states.where("status <> 0").unionByName(visited).unionByName(targets)
 
 
-def crawl(seeds: DataFrame, links: DataFrame, rounds: int, stage=lambda df: df.cache()) -> DataFrame:
+def crawl(seeds: DataFrame, links: DataFrame, rounds: int, stage=materialised) -> DataFrame:
     """Rounds until nothing is new, or so many."""
     states = seeds.select("url", F.lit(0).alias("status")).distinct()
     for _ in range(rounds):
