@@ -4,10 +4,10 @@
    frequencies, whose size is fixed whatever the corpus; the other takes each document's consistent weighted samples,
    with weights (1 + ln tf) * (1 + strength * normalised idf) on a fixed grid, and hashes them by bands.
 2. Texts with the same words are one class from the start; only one of them goes on.
-3. In a bucket of a band, all are compared with one leader, not with each other: exact weighted Jaccard on the texts. The
-   classes so far settle most buckets. Where members of a bucket are still in different classes and were not compared,
-   the next round takes eight times as many leaders among them, until no bucket is left. So no link between texts that share a
-   bucket is lost, and no bucket emits its square.
+3. In a bucket of a band, all are compared with one leader, not with each other: exact weighted Jaccard on the texts.
+   Then small buckets are compared whole, and the members of larger ones with a second leader, drawn anew in each band,
+   as far as no leader has joined them yet. So no bucket emits its square, and a text of a large group is compared with
+   up to two texts in every band. Classes are the connected components of all pairs at the threshold or above.
 
 The strength of the idf is moderate on purpose: in a group of copies that holds a third of all rows, full idf would weigh the
 few edited shingles many times the common ones, and pairs at 0.8 or more of plain overlap would be missed.
@@ -51,6 +51,8 @@ class Settings:
     bands: int = 16
     rows: int = 4
     strength: float = 0.25
+    #: Buckets of up to so many texts are compared whole.
+    whole_bucket: int = 8
     #: Variates are drawn for so many classes of shingles; a sample still names the very shingle.
     variate_classes: int = 4096
 
@@ -282,39 +284,28 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     rows = staged(signed.select("uid", "doc_id", "words", "print1", "print2").join(firsts, "words").drop("words"), "same-words")
 
     places = signed.join(rows.where("uid = rep").select("uid"), "uid", "left_semi").select("uid", F.posexplode("bands").alias("band", "hash")).select("uid", F.xxhash64("band", "hash").alias("bucket"))
-    sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = staged(places.join(sizes, "bucket"), "buckets")
+    sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("first"), F.min(F.struct(F.xxhash64("uid", "bucket").alias("o"), "uid")).alias("other")).where("n > 1")
+    members = staged(places.join(sizes, "bucket").select("bucket", "uid", "n", "first", F.col("other.uid").alias("other")), "buckets")
     wanted = rows.join(members.select("uid").distinct(), "uid", "left_semi").select("uid", "print1", "print2")
     texts = source.select("text", *prints).join(wanted, ["print1", "print2"]).groupBy("uid").agg(F.first("text").alias("text"))
     texts = staged(texts, "candidate-texts")
 
-    classes = spark.createDataFrame([], "uid bigint, class bigint")
-    compared = spark.createDataFrame([], "a bigint, b bigint, similarity double")
-    open_, leaders = members, 1
-    while not open_.isEmpty():
-        # One leader for each slot of a bucket; at first the smallest uid, which is the same in all bands.
-        slot, order = F.pmod(F.xxhash64("uid", F.lit(leaders)), F.lit(leaders)), F.xxhash64("uid", "bucket") if leaders > 1 else F.col("uid")
-        heads = open_.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(order.alias("o"), "uid")).alias("head")).select("bucket", F.col("head.uid").alias("a"))
-        pairs = open_.join(heads, "bucket").where("uid <> a").select(F.least("a", "uid").alias("a"), F.greatest("a", "uid").alias("b")).distinct()
-        if leaders > 1:
-            of = lambda c: classes.select(F.col("uid").alias(c), F.col("class").alias(f"class_{c}"))
-            pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(class_a, a) <> coalesce(class_b, b)").select("a", "b")
-            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = staged(verified(pairs, texts, weights, settings), "compared")
-        compared = compared.unionByName(fresh)
-        linked = F.col("similarity") >= settings.threshold
-        if not fresh.where(linked).isEmpty():
-            classes = components(compared.where(linked))
-        # A bucket stays open while there are more pairs of its members across classes than were compared.
-        inside = staged(open_.join(classes, "uid", "left").select("bucket", "uid", F.coalesce("class", "uid").alias("class")), "inside")
-        by_class = inside.groupBy("bucket", "class").agg(F.count(F.lit(1)).cast("double").alias("k"))
-        across = by_class.groupBy("bucket").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("q")).where("m * m > q").select("bucket", ((F.col("m") * F.col("m") - F.col("q")) / 2).alias("pairs"))
-        spread = inside.join(across, "bucket")
-        one, two = (spread.select("bucket", F.col("uid").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab")
-        known = compared.where(~linked).join(one, "a").join(two, ["bucket", "b"]).where("class_a <> class_b").groupBy("bucket").agg(F.count(F.lit(1)).alias("known"))
-        still = across.join(known, "bucket", "left").where("pairs > coalesce(known, 0)").select("bucket")
-        open_ = staged(open_.join(still, "bucket", "left_semi"), "open")
-        leaders *= 8
+    def sorted_pairs(rows: DataFrame, leader: str) -> DataFrame:
+        return rows.where(F.col("uid") != F.col(leader)).select(F.least(leader, "uid").alias("a"), F.greatest(leader, "uid").alias("b"))
+
+    # First round: everyone with the smallest of the bucket, which is the same one in all bands of a group.
+    first = staged(verified(sorted_pairs(members, "first").distinct(), texts, weights, settings), "compared")
+    linked = F.col("similarity") >= settings.threshold
+    labels = first.where(linked).groupBy(F.col("b").alias("uid")).agg(F.min("a").alias("label"))
+    # Second round, for texts that have no leader in common yet: all pairs of small buckets; in larger ones, one leader
+    # drawn for each bucket, so that a text meets another one in every band.
+    small = members.where(F.col("n").between(3, settings.whole_bucket)).select("bucket", "uid")
+    inside = small.select("bucket", F.col("uid").alias("a")).join(small.select("bucket", F.col("uid").alias("b")), "bucket").where("a < b").select("a", "b")
+    pairs = inside.unionByName(sorted_pairs(members.where(F.col("n") > settings.whole_bucket), "other")).distinct()
+    of = lambda c: labels.select(F.col("uid").alias(c), F.col("label").alias(f"label_{c}"))
+    pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(label_a, a) <> coalesce(label_b, b)").select("a", "b")
+    second = verified(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), texts, weights, settings)
+    classes = components(first.unionByName(second).where(linked).select("a", "b"))
     out = rows.join(classes.withColumnRenamed("uid", "rep"), "rep", "left").select("uid", "doc_id", F.coalesce("class", "rep").alias("class"))
     best = out.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best"), F.count(F.lit(1)).alias("class_size"))
     return out.join(best, "class").select("doc_id", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("uid") == F.col("best.uid")).alias("kept"))
