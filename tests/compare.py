@@ -20,7 +20,7 @@ def plain(frame):
     for c in frame.columns:
         if str(frame[c].dtype).startswith("float"):
             frame[c] = frame[c].round(6)
-        frame[c] = [str(list(x)) if hasattr(x, "__iter__") and not isinstance(x, (str, dict, bytes)) else str(x) for x in frame[c]]
+        frame[c] = [str(list(x)) if hasattr(x, "__iter__") and not isinstance(x, (str, dict, bytes)) else str(x).removesuffix(" 00:00:00") for x in frame[c]]
     return sorted(map(tuple, frame.itertuples(index=False)))
 
 
