@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import numerals, text as X, urls as U
-from ..operators import align, audit, blocks, charset, detectors, evaluate, frontier, headers, lines as L, records as R
+from ..operators import align, audit, blocks, charset, detectors, evaluate, frontier, headers, lines as L, records as R, relations
 from ..sources import readers
 
 QUERIES: dict = {}
@@ -510,3 +510,59 @@ def daily_events(spark, sf_dir):
     """STM-00: what the tumbling stream gives, in one batch."""
     e = table(spark, sf_dir, "events")
     return e.groupBy("event_type", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("select user_id as record, list_sort(list_distinct(flatten(list([event_id % 10, event_id % 7])))) as br from events group by user_id")
+def folded_breaks(spark, sf_dir):
+    """AGG-21, SET-06: break indices of all batches of a record."""
+    log = table(spark, sf_dir, "events").select(F.col("user_id").alias("record"), F.array(F.col("event_id") % 10, F.col("event_id") % 7).alias("br"))
+    return relations.folded_breaks(log)
+
+
+@query("select conv_id as record, max(turn) + 1 as next from conversations group by conv_id")
+def resume_positions(spark, sf_dir):
+    """WIN-10."""
+    return relations.resume_at(table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("record"), F.col("turn").alias("r")))
+
+
+@query("""with p as (select conv_id as w, turn + 1 as page, (turn * 7 + conv_id) % 20 + 1 as rows from conversations), l as (select w, max(page) as page, arg_max(rows, page) as rows from p group by w)
+select w, page + 1 as next_page from l where (page - 1) * 20 + rows < 60""")
+def unfinished_windows(spark, sf_dir):
+    """FLT-24."""
+    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("w"), (F.col("turn") + 1).alias("page"), ((F.col("turn") * 7 + F.col("conv_id")) % 20 + 1).alias("rows"), F.lit(60).alias("total"))
+    return relations.unfinished(pages, "w", "total")
+
+
+@query("""select d.doc_id, case when l.doc_id is not null and l.quality = 1 then 'fixed' else d.lang end as lang from documents d left join labels l on d.doc_id = l.doc_id where not exists (select 1 from labels x where x.doc_id = d.doc_id and x.quality = 0)""")
+def reworked_rows(spark, sf_dir):
+    """JOIN-06, FLT-23: rows of a drop table go, rows of a rework table get its value."""
+    labels = table(spark, sf_dir, "labels")
+    rework = labels.where("quality = 1").select("doc_id", F.lit("fixed").alias("lang")).dropDuplicates(["doc_id"])
+    return relations.reworked(table(spark, sf_dir, "documents").select("doc_id", "lang"), rework, labels.where("quality = 0"), ["doc_id"], "lang")
+
+
+@query("""select c_custkey as value, 'c' as name, n_name as key from customer join nation on c_nationkey = n_nationkey where c_custkey % 2 = 0 union all select c_custkey, 'd', n_name from customer join nation on c_nationkey = n_nationkey where c_custkey % 2 = 0""")
+def inverted_maps(spark, sf_dir):
+    """JOIN-07, MAP-01: maps of rows as rows to look up in."""
+    rows = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.select(F.col("n_name").alias("key"), F.create_map(F.lit("c"), "c_custkey", F.lit("d"), "c_custkey").alias("m"))
+    return relations.inverted(rows, "key", "m")
+
+
+@query("select doc_id, regexp_replace(lang || '-' || right('https://x/' || source || '/' || doc_id || '.doc', 12), '[/]', '_', 'g') as name, '.doc' as ext from documents")
+def document_names(spark, sf_dir):
+    """STR-23, STR-25, FLT-15."""
+    url = F.concat(F.lit("https://x/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".doc"))
+    return table(spark, sf_dir, "documents").select("doc_id", U.document_name(F.col("lang"), url).alias("name"), U.extension(url).alias("ext"))
+
+
+@query("select doc_id, list_transform(list_filter(list_transform(range(0, length(text)), lambda i: case when substr(text, i + 1, 1) = '.' then i end), lambda x: x is not null), lambda x: x::int) as stops from documents")
+def stop_positions(spark, sf_dir):
+    """STR-14."""
+    return table(spark, sf_dir, "documents").select("doc_id", X.positions_of(F.col("text"), ".").alias("stops"))
+
+
+@query(r"select doc_id, regexp_replace(regexp_replace(replace(text, chr(160), ''), '\n+', chr(10), 'g'), '^\s+|\s+$', '', 'g') as clean from documents")
+def cleaned_articles(spark, sf_dir):
+    """STR-10."""
+    return table(spark, sf_dir, "documents").select("doc_id", X.clean_article(F.col("text")).alias("clean"))
