@@ -48,7 +48,8 @@ def exact_dedup(docs: DataFrame, least_chunk: int = 1024, most_chunk: int = 8192
     )
     rows = staged(meta.select("uid", "doc_id", "points", "sha").join(recipes, "uid"), "dedup-recipes")
     best = F.min(F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("last"), "doc_id", "uid"))
-    groups = rows.groupBy("recipe", "sha").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+    # Written first: joined as they come from the aggregation, they would bind the rows of a hot group to one task.
+    groups = staged(rows.groupBy("recipe", "sha").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")), "dedup-groups")
     return rows.join(groups, ["recipe", "sha"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("uid") == F.col("best.uid")).alias("kept"),
         F.col("sha").alias("text_sha256"), F.size("recipe").cast("long").alias("n_chunks"),
