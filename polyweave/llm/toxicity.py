@@ -164,10 +164,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
             rows = [shared.value.features(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), *[pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]], names=["toxic", "a", "b", "c"])
 
-    rows = labelled.mapInArrow(features, "toxic int, a double, b double, c double").orderBy("toxic", "a", "b", "c").collect()
+    rows = labelled.mapInArrow(features, "toxic int, a double, b double, c double").collect()
     if len({r[0] for r in rows}) < 2:
         return Model(lexicon, None)
-    table = np.array([list(r) for r in rows], dtype=float)
+    table = np.array(sorted(map(tuple, rows)), dtype=float)
     return Model(lexicon, fit_curve(table[:, 1:], table[:, 0]))
 
 
