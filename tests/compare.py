@@ -15,12 +15,17 @@ def oracle(sf):
     return con
 
 
+def _value(x):
+    """Lists of either engine as plain Python lists: NumPy's scalars print with their type."""
+    return str([getattr(v, "item", lambda v=v: v)() for v in x]) if hasattr(x, "__iter__") and not isinstance(x, (str, dict, bytes)) else str(x).removesuffix(" 00:00:00")
+
+
 def plain(frame):
     frame = frame[sorted(frame.columns)].copy()
     for c in frame.columns:
         if str(frame[c].dtype).startswith("float"):
             frame[c] = frame[c].round(6)
-        frame[c] = [str(list(x)) if hasattr(x, "__iter__") and not isinstance(x, (str, dict, bytes)) else str(x).removesuffix(" 00:00:00") for x in frame[c]]
+        frame[c] = [_value(x) for x in frame[c]]
     return sorted(map(tuple, frame.itertuples(index=False)))
 
 
