@@ -6,8 +6,12 @@
 2. Texts with the same words are one class from the start; only one of them goes on.
 3. In a bucket of a band, all are compared with one leader, not with each other: exact weighted Jaccard on the texts.
    Then small buckets are compared whole, and the members of larger ones with a second leader, drawn anew in each band,
-   as far as no leader has joined them yet. So no bucket emits its square, and a text of a large group is compared with
-   up to two texts in every band. Classes are the connected components of all pairs at the threshold or above.
+   as far as no leader has joined them yet.
+4. Large buckets whose members are in more than one class by then are settled exactly: buckets that share texts are one
+   group, and all texts outside a group's largest class are compared with all of the group, block by block, as products of
+   matrices. A block gives no more links than it has texts. So every pair that shares a bucket is compared or in one class,
+   and no bucket emits its square; the work grows with the texts outside the largest class times the group.
+   Classes are the connected components of all pairs at the threshold or above.
 
 The strength of the idf is moderate on purpose: in a group of copies that holds a third of all rows, full idf would weigh the
 few edited shingles many times the common ones, and pairs at 0.8 or more of plain overlap would be missed.
@@ -51,8 +55,9 @@ class Settings:
     bands: int = 16
     rows: int = 4
     strength: float = 0.25
-    #: Buckets of up to so many texts are compared whole.
+    #: Buckets of up to so many texts are compared whole; larger ones in blocks of about so many texts a side.
     whole_bucket: int = 8
+    block: int = 1024
     #: Variates are drawn for so many classes of shingles; a sample still names the very shingle.
     variate_classes: int = 4096
 
@@ -193,6 +198,104 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(common / (wa.sum() + wb.sum() - common))
 
 
+def common_weights(left: list, right: list, columns: int = 4096) -> np.ndarray:
+    """For each text of left and each of right, the summed minima of the weights of their common shingles.
+
+    A text is (shingles, weights). A shingle's minimum is the sum over the weights' levels that both reach, so the minima of
+    all pairs are a product of matrices; columns of them are dense at a time, and memory doesn't grow with the texts.
+    """
+    out = np.zeros((len(left), len(right)), dtype=np.float64)
+    sides = []
+    for texts in (left, right):
+        row = np.repeat(np.arange(len(texts)), [len(h) for h, _ in texts])
+        sides.append((row, np.concatenate([h for h, _ in texts]), np.concatenate([w for _, w in texts])))
+    (lr, lh, lw), (rr, rh, rw) = sides
+    both = np.intersect1d(lh, rh)
+    if not len(both):
+        return out
+
+    def known(row, h, w):
+        at = np.searchsorted(both, h)
+        at[at == len(both)] = 0
+        yes = both[at] == h
+        order = np.argsort(at[yes], kind="stable")
+        return row[yes][order], at[yes][order], w[yes][order]
+
+    (lr, la, lw), (rr, ra, rw) = known(lr, lh, lw), known(rr, rh, rw)
+    # A shingle of one text on either side is one number; most shingles of edited copies are.
+    single = (np.bincount(la, minlength=len(both)) == 1) & (np.bincount(ra, minlength=len(both)) == 1)
+    np.add.at(out, (lr[single[la]], rr[single[ra]]), np.minimum(lw[single[la]], rw[single[ra]]))
+    place, count = np.cumsum(~single) - 1, int((~single).sum())
+    (lr, la, lw), (rr, ra, rw) = ((row[~single[at]], place[at[~single[at]]], w[~single[at]]) for row, at, w in ((lr, la, lw), (rr, ra, rw)))
+    for low in range(0, count, columns):
+        l, r = (slice(*np.searchsorted(at, (low, low + columns))) for at in (la, ra))
+        level = 0.0
+        for top in np.unique(np.concatenate([lw[l], rw[r]])):
+            x = np.zeros((len(left), min(columns, count - low)), dtype=np.float32)
+            y = np.zeros((len(right), x.shape[1]), dtype=np.float32)
+            for m, row, at, w, part in ((x, lr, la, lw, l), (y, rr, ra, rw, r)):
+                reach = w[part] >= top
+                m[row[part][reach], at[part][reach] - low] = 1
+            some = x.any(axis=0) & y.any(axis=0)
+            if some.any():
+                out += (top - level) * (x[:, some] @ y[:, some].T)
+            level = top
+    return out
+
+
+def _joining(left, right, common: np.ndarray, threshold: float) -> Iterator[tuple[int, int, float]]:
+    """Of all pairs at the threshold or above, those that join classes which are not joined yet. A side is (uids, classes, vectors)."""
+    (lu, lc, lv), (ru, rc, rv) = left, right
+    lw, rw = (np.array([w.sum() for _, w in v]) for v in (lv, rv))
+    # The product's rounding is of no account here: what it finds near the threshold is measured again.
+    near = common >= (threshold - 1e-6) * (lw[:, None] + rw[None, :] - common)
+    near &= np.asarray(lc)[:, None] != np.asarray(rc)[None, :]
+    head: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while head.get(c, c) != c:
+            head[c] = head.get(head[c], head[c])
+            c = head[c]
+        return c
+
+    for i, j in zip(*np.nonzero(near)):
+        a, b = root(lc[i]), root(rc[j])
+        if a != b and (s := weighted_jaccard(lv[i], rv[j])) >= threshold:
+            head[max(a, b)] = min(a, b)
+            yield lu[i], ru[j], s
+
+
+def block_links(members: DataFrame, texts: DataFrame, weights, settings: Settings) -> DataFrame:
+    """Links (a, b, similarity) between classes in groups: members(group, uid, class), a text in one group at most.
+
+    Each text outside its group's largest class meets every text of the group in one block; blocks are hashed slots of about
+    settings.block texts a side, each a row group of its own, so a hot group is spread over tasks.
+    """
+    by_class = members.groupBy("group", "class").agg(F.count(F.lit(1)).alias("k"))
+    sums = by_class.groupBy("group").agg(F.sum("k").alias("n"), F.max(F.struct("k", "class")).alias("most"))
+    slots = lambda c: F.ceil(c / settings.block).cast("int")
+    sized = members.join(sums.select("group", F.col("most.class").alias("main"), slots(F.col("n")).alias("columns"), slots(F.col("n") - F.col("most.k")).alias("rows")).where("rows > 0"), "group")
+    sized = sized.join(texts, "uid").select("group", "uid", "class", "text", (F.col("class") != F.col("main")).alias("outside"), "rows", "columns")
+    slot = lambda n, k: F.pmod(F.xxhash64("uid", F.lit(k)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = sized.where("outside").select("group", slot("rows", 1).alias("r"), every("columns").alias("c"), F.lit(True).alias("is_row"), "uid", "class", "text")
+    right = sized.select("group", every("rows").alias("r"), slot("columns", 2).alias("c"), F.lit(False).alias("is_row"), "uid", "class", "text")
+
+    def run(table: pa.Table) -> pa.Table:
+        own = weights.value
+        is_row = np.array(table.column("is_row").to_pylist(), dtype=bool)
+        sides = []
+        for mask in (is_row, ~is_row):
+            part = table.filter(pa.array(mask))
+            sides.append((part.column("uid").to_pylist(), part.column("class").to_pylist(), [own.vector(t) for t in part.column("text").to_pylist()]))
+        found = list(_joining(*sides, common_weights(sides[0][2], sides[1][2]), settings.threshold)) if all(s[0] for s in sides) else []
+        columns = list(zip(*found)) if found else [(), (), ()]
+        a, b = np.array(columns[0], dtype=np.int64), np.array(columns[1], dtype=np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "similarity": np.array(columns[2], dtype=np.float64)})
+
+    return left.unionByName(right).groupBy("group", "r", "c").applyInArrow(run, "a bigint, b bigint, similarity double")
+
+
 def signatures(docs: DataFrame, weights, settings: Settings) -> DataFrame:
     """doc_id, prints, words (128-bit hash of the word list) and bands (one 64-bit hash each) for each row of docs."""
     kept = [docs.schema[c] for c in ("doc_id", "print1", "print2")]
@@ -304,8 +407,18 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     pairs = inside.unionByName(sorted_pairs(members.where(F.col("n") > settings.whole_bucket), "other")).distinct()
     of = lambda c: labels.select(F.col("uid").alias(c), F.col("label").alias(f"label_{c}"))
     pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(label_a, a) <> coalesce(label_b, b)").select("a", "b")
-    second = verified(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), texts, weights, settings)
-    classes = components(first.unionByName(second).where(linked).select("a", "b"))
+    second = staged(verified(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), texts, weights, settings), "compared-again")
+    links = first.unionByName(second).where(linked).select("a", "b")
+    classes = components(links)
+    # Third round: large buckets that still hold several classes.
+    inside = staged(members.where(F.col("n") > settings.whole_bucket).select("bucket", "uid").join(classes, "uid", "left").select("bucket", "uid", F.coalesce("class", "uid").alias("class")), "inside")
+    mixed = inside.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("uid").alias("first")).where("low <> high").select("bucket", "first")
+    mixed = staged(inside.join(mixed, "bucket").select("uid", "class", "first").distinct(), "mixed")
+    if not mixed.isEmpty():
+        groups = components(mixed.select(F.col("first").alias("a"), F.col("uid").alias("b"))).select("uid", F.col("class").alias("group"))
+        third = staged(block_links(mixed.select("uid", "class").distinct().join(groups, "uid", "left").withColumn("group", F.coalesce("group", "uid")), texts, weights, settings), "block-links")
+        if not third.isEmpty():
+            classes = components(links.unionByName(third.select("a", "b")))
     out = rows.join(classes.withColumnRenamed("uid", "rep"), "rep", "left").select("uid", "doc_id", F.coalesce("class", "rep").alias("class"))
     best = out.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best"), F.count(F.lit(1)).alias("class_size"))
     return out.join(best, "class").select("doc_id", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("uid") == F.col("best.uid")).alias("kept"))

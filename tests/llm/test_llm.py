@@ -116,6 +116,40 @@ def test_near_duplicates_are_the_exact_classes(spark):
     assert all(r.class_size == sizes[r.class_id] and r.kept == (r.class_id == i) for i, r in got.items())
 
 
+@pytest.mark.parametrize("block", [1024, 7])
+def test_near_duplicates_lose_no_link_in_a_group_of_many_classes(spark, block):
+    """A hot group whose texts share buckets but are rarely at the threshold: chains of links that no leader is part of."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base, rows = [word() for _ in range(300)], []
+    for family in range(40):
+        root = list(base)
+        for _ in range(9):
+            root[rng.randrange(300)] = word()
+        for copy in range(rng.choice([1, 2, 4])):
+            own = list(root)
+            for _ in range(0 if copy == 0 else rng.choice([2, 4])):
+                own[rng.randrange(300)] = word()
+            rows.append((len(rows), " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    settings = near_dedup.Settings(block=block)
+    weights = near_dedup.Weights(*near_dedup.frequency_sketch(docs, settings), settings)
+    truth = brute_classes(rows, weights, settings.threshold)
+    assert len(set(truth.values())) > 20
+    assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs, settings).collect()} == truth
+
+
+def test_common_weights_are_sums_of_minima():
+    rng = np.random.default_rng(3)
+    text = lambda: (np.unique(rng.integers(0, 60, rng.integers(0, 40)).astype(np.uint64)), None)
+    sides = [[(h, rng.choice([1.0, 1.25, 2.1], len(h))) for h, _ in (text() for _ in range(n))] for n in (9, 13)]
+    got = near_dedup.common_weights(*sides, columns=8)
+    for i, (ha, wa) in enumerate(sides[0]):
+        for j, (hb, wb) in enumerate(sides[1]):
+            a, b = dict(zip(ha.tolist(), wa)), dict(zip(hb.tolist(), wb))
+            assert abs(got[i, j] - sum(min(a[k], b[k]) for k in a.keys() & b.keys())) < 1e-6
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     rows = near_dedup.near_duplicates(odd).collect()
     assert len(rows) == len(ODD) and near_dedup.near_duplicates(none).count() == 0
