@@ -78,9 +78,20 @@ def _coefficients(bits: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 64, 1 << bits, dtype=np.uint64) | _U(1)
 
 
-def word_hashes(text: str) -> np.ndarray:
+def raw_texts(column: pa.Array) -> list[np.ndarray]:
+    """The UTF-8 bytes of a column of strings without nulls, as views of its buffer: a batch of texts isn't held twice."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    if not len(column):
+        return []
+    ends = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    chars = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+    return [chars[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def word_hashes(text: str | np.ndarray) -> np.ndarray:
     """A 64-bit multilinear hash of each word's UTF-8 bytes, in order."""
-    raw = np.frombuffer(text.encode(), dtype=np.uint8)
+    raw = text if isinstance(text, np.ndarray) else np.frombuffer(text.encode(), dtype=np.uint8)
     inside = ~_IS_SPACE[raw]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
@@ -119,7 +130,7 @@ def frequency_sketch(docs: DataFrame, settings: Settings) -> tuple[np.ndarray, i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros((SKETCH_ROWS, SKETCH_CELLS), dtype=np.int64), 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = raw_texts(batch.column("text"))
             n += len(texts)
             for a, b in in_runs(texts):
                 h = np.concatenate([shingles(word_hashes(t), settings.words)[0] for t in texts[a:b]])
@@ -169,7 +180,7 @@ class Weights:
         idf = np.log((1 + self.documents) / (1 + np.minimum(df, self.documents))) / np.log(1 + self.documents)
         return np.rint(idf * (IDF_STEPS - 1)).astype(np.intp) * len(TF_WEIGHTS) + np.searchsorted(TF_BOUNDS, tf, side="right")
 
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, text: str | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         h, tf = shingles(word_hashes(text), self.settings.words)
         return h, self.grid[self.of(h, tf)]
 
@@ -287,7 +298,7 @@ def block_links(members: DataFrame, texts: DataFrame, weights, settings: Setting
         sides = []
         for mask in (is_row, ~is_row):
             part = table.filter(pa.array(mask))
-            sides.append((part.column("uid").to_pylist(), part.column("class").to_pylist(), [own.vector(t) for t in part.column("text").to_pylist()]))
+            sides.append((part.column("uid").to_pylist(), part.column("class").to_pylist(), [own.vector(t) for chunk in part.column("text").chunks for t in raw_texts(chunk)]))
         found = list(_joining(*sides, common_weights(sides[0][2], sides[1][2]), settings.threshold)) if all(s[0] for s in sides) else []
         columns = list(zip(*found)) if found else [(), (), ()]
         a, b = np.array(columns[0], dtype=np.int64), np.array(columns[1], dtype=np.int64)
@@ -306,7 +317,7 @@ def signatures(docs: DataFrame, weights, settings: Settings) -> DataFrame:
         table = own.variates
         flat = table.reshape(-1, table.shape[2])
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = raw_texts(batch.column("text"))
             for a, b in in_runs(texts, 4_000_000):
                 names, bands = [], []
                 for text in texts[a:b]:
@@ -342,7 +353,7 @@ def verified(pairs: DataFrame, texts: DataFrame, weights, settings: Settings) ->
         own, last = weights.value, (None, None)
         for batch in batches:
             out = []
-            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+            for a, x, y in zip(batch.column("a").to_pylist(), raw_texts(batch.column("x")), raw_texts(batch.column("y"))):
                 if last[0] != a:
                     last = a, own.vector(x)
                 out.append(weighted_jaccard(last[1], own.vector(y)))
