@@ -372,10 +372,10 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # large star: larger neighbours go to the smallest of the neighbourhood
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "large-least")
         large = staged(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
         # small star: smaller neighbours, and the node itself, go to the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "small-least")
         links = staged(large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "small-star")
         after = state(links)
         if after == before:
@@ -394,11 +394,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     prints = [F.xxhash64("doc_id", "text").alias("print1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("print2")]
     signed = signatures(source.select("doc_id", "text", *prints), weights, settings).withColumn("uid", F.monotonically_increasing_id())
     signed = staged(signed, "signatures")
-    firsts = signed.groupBy("words").agg(F.min("uid").alias("rep"))
+    # What is joined back to the rows it was counted from is written first here and below: as it comes from the aggregation,
+    # it would bind the rows of a hot key to one task.
+    firsts = staged(signed.groupBy("words").agg(F.min("uid").alias("rep")), "first-of-words")
     rows = staged(signed.select("uid", "doc_id", "words", "print1", "print2").join(firsts, "words").drop("words"), "same-words")
 
     places = signed.join(rows.where("uid = rep").select("uid"), "uid", "left_semi").select("uid", F.posexplode("bands").alias("band", "hash")).select("uid", F.xxhash64("band", "hash").alias("bucket"))
-    sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("first"), F.min(F.struct(F.xxhash64("uid", "bucket").alias("o"), "uid")).alias("other")).where("n > 1")
+    sizes = staged(places.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("first"), F.min(F.struct(F.xxhash64("uid", "bucket").alias("o"), "uid")).alias("other")).where("n > 1"), "bucket-sizes")
     members = staged(places.join(sizes, "bucket").select("bucket", "uid", "n", "first", F.col("other.uid").alias("other")), "buckets")
     wanted = rows.join(members.select("uid").distinct(), "uid", "left_semi").select("uid", "print1", "print2")
     texts = source.select("text", *prints).join(wanted, ["print1", "print2"]).groupBy("uid").agg(F.first("text").alias("text"))
@@ -431,6 +433,6 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         if not third.isEmpty():
             classes = components(links.unionByName(third.select("a", "b")))
     out = rows.join(classes.withColumnRenamed("uid", "rep"), "rep", "left").select("uid", "doc_id", F.coalesce("class", "rep").alias("class"))
-    best = out.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best"), F.count(F.lit(1)).alias("class_size"))
+    best = staged(out.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("best"), F.count(F.lit(1)).alias("class_size")), "classes")
     return out.join(best, "class").select("doc_id", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("uid") == F.col("best.uid")).alias("kept"))
 
