@@ -9,6 +9,7 @@ from __future__ import annotations
 import difflib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,34 +68,64 @@ def is_frequent(n: Column, pages: Column) -> Column:
     return ((pages >= 3) & (n >= pages - 1)) | ((pages >= 5) & (n > 0.666 * pages))
 
 
-def gestalt(a: str, b: str, least: float) -> bool:
-    """Ratcliff-Obershelp similarity over least; upper bounds are tried first."""
-    m = difflib.SequenceMatcher(None, a, b, autojunk=False)
-    return m.real_quick_ratio() > least and m.quick_ratio() > least and m.ratio() > least
-
-
-def similar_digest_counts(pages: DataFrame, key: list[str], least: float = 0.72) -> DataFrame:
-    """key, digest, n: occurrences of all digests of the key that resemble it.
-
-    Only digests that occur at least twice can make a line frequent, so others are not paired; lengths prune the join.
+def similar_sums(digests: list[str], others: list[str], counts: list[int], least: float) -> list[int]:
+    """For each digest the counts of all others of a Ratcliff-Obershelp similarity over least. The two upper bounds (lengths, letters in common) are taken for all digests at once."""
+    at = {c: i for i, c in enumerate(set().union(*digests, *others))}
+
+    def letters(texts: list[str]) -> np.ndarray:
+        out = np.zeros((len(texts), len(at)), np.int32)
+        for i, x in enumerate(texts):
+            for c in x:
+                out[i, at[c]] += 1
+        return out
+
+    sums, own, theirs = [0] * len(digests), letters(digests), letters(others)
+    sizes = own.sum(1)
+    m = difflib.SequenceMatcher(autojunk=False)
+    for k, (other, n) in enumerate(zip(others, counts)):
+        both = sizes + len(other)
+        near = np.flatnonzero(2.0 * np.minimum(sizes, len(other)) / both > least)
+        near = near[2.0 * np.minimum(own[near], theirs[k]).sum(1) / both[near] > least]
+        m.set_seq2(other)
+        for i in near:
+            m.set_seq1(digests[i])
+            if m.ratio() > least:
+                sums[i] += n
+    return sums
+
+
+def similar_digest_counts(pages: DataFrame, key: list[str], least: float = 0.72, block: int = 256, single: bool = True) -> DataFrame:
+    """key, digest, n: occurrences of all digests of the key that resemble it, itself included.
+
+    Every digest is paired with every one of its key, once-only ones too: a header that differs by page occurs once in each
+    form. Without single, only digests that occur twice or more are summed. Pairs are compared in blocks of about so many
+    digests a side, so that a key with many is spread and no pair is a row.
     """
     digests = head_digests(pages, key)
-    other = digests.where("n > 1").select(*key, F.col("digest").alias("like"), F.col("n").alias("more"))
-    size = lambda c: F.length(c)
-    near = digests.where("n > 0").join(other, key).where(2 * F.least(size("digest"), size("like")) > least * (size("digest") + size("like")))
+    sizes = digests.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    dealt = digests.join(sizes, key).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")))
+    lists = dealt.groupBy(*key, "block").agg(F.collect_list(F.struct("digest", "n")).alias("own"))
+    summed = F.col("own") if single else F.filter("own", lambda x: x["n"] > 1)
+    others = lists.select(*key, summed.alias("o")).select(*key, F.col("o.digest").alias("others"), F.col("o.n").alias("counts"))
+    pairs = lists.select(*key, F.col("own.digest").alias("digests")).join(others, key)
 
-    @F.pandas_udf("boolean")
-    def resembles(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([x == y or gestalt(x, y, least) for x, y in zip(a, b)])
+    @F.pandas_udf("array<long>")
+    def sums(digests: pd.Series, others: pd.Series, counts: pd.Series) -> pd.Series:
+        return pd.Series([similar_sums(list(d), list(o), [int(n) for n in c], least) for d, o, c in zip(digests, others, counts)])
 
-    return near.where(resembles("digest", "like")).groupBy(*key, "digest").agg(F.sum("more").alias("n"))
+    found = pairs.select(*key, F.explode(F.arrays_zip(F.col("digests").alias("digest"), sums("digests", "others", "counts").alias("n"))).alias("x"))
+    return found.groupBy(*key, F.col("x.digest").alias("digest")).agg(F.sum("x.n").alias("n"))
 
 
-def remove_headers(pages: DataFrame, key: list[str]) -> DataFrame:
-    """Pages without repeated first lines and page numbers, cut at the footnote rule and stripped."""
+def remove_headers(pages: DataFrame, key: list[str], single: bool = False) -> DataFrame:
+    """Pages without repeated first lines and page numbers, cut at the footnote rule and stripped.
+
+    single: first lines that occur once each but resemble one another are repeated ones too, as in the published script. Text
+    at the start of pages that is alike on nearly all of them goes with them.
+    """
     stats = page_offset(pages, key)
     lines = pages.select(*key, "page_id", F.posexplode(F.split(F.substring("page", 1, HEAD), "\n")).alias("at", "line"))
-    counted = lines.withColumn("digest", line_digest(F.col("line"))).join(similar_digest_counts(pages, key), [*key, "digest"], "left").join(stats, key)
+    counted = lines.withColumn("digest", line_digest(F.col("line"))).join(similar_digest_counts(pages, key, single=single), [*key, "digest"], "left").join(stats, key)
     drop = F.coalesce(is_frequent(F.col("n"), F.col("pages")), F.lit(False)) & (F.col("digest") != "")
     number = F.concat(F.lit(r"^\s*"), (F.col("page_id") + F.col("offset")).cast("string"), F.lit(r"(?:/\d+)?\s+|^\s*\d+/\d+\s*$|^\s*\d+\s*$"))
     kept = F.when(drop, F.lit(None)).otherwise(F.when(F.col("offset").isNotNull(), F.regexp_replace("line", number, F.lit(""))).otherwise(F.col("line")))

@@ -266,7 +266,7 @@ def page_offset(spark, sf_dir):
 @query()
 def header_removal(spark, sf_dir):
     """SEQ-08, JOIN-13, STR-13, SNK-07."""
-    return headers.remove_headers(pages_of(spark, sf_dir), ["doc_id"])
+    return headers.remove_headers(pages_of(spark, sf_dir), ["doc_id"], single=True)
 
 
 @query(rf"""

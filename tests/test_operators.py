@@ -1,7 +1,9 @@
 """Golden values and brute force for the corpus operators."""
 
 import datetime
+import difflib
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,6 +133,25 @@ def test_headers_go_and_text_stays(spark):
     assert all(p.startswith("text of page") for p in got) and len(got) == 6
 
 
+def brute_similar(pages):
+    """Occurrences of all similar digests of the page heads, as the published script sums them."""
+    counts = Counter("".join(x.split()) for p in pages for x in p[: headers.HEAD].splitlines())
+    counts.pop("", None)
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+    return {a: sum(n for b, n in counts.items() if ratio(a, b) > 0.72) for a in counts}
+
+
+def test_headers_that_differ_by_page_go(spark):
+    words = "amber birch cedar delta ember frost grove haven inlet joker".split()
+    texts = [f"A/CN.9/WG.VI/WP.22 Page {i + 2}\n{' '.join(words[i:] + words[:i])} {w * 9}\nend" for i, w in enumerate(words)]
+    rows = spark.createDataFrame([(1, i, x) for i, x in enumerate(texts)] + [(2, 0, "A/CN.9/WG.VI/WP.22 Page 9\nalone")], "doc bigint, page_id int, page string")
+    for block in (256, 3):
+        got = {(r.doc, r.digest): r.n for r in headers.similar_digest_counts(rows, ["doc"], block=block).collect()}
+        assert got == {(1, d): n for d, n in brute_similar(texts).items()} | {(2, d): n for d, n in brute_similar(["A/CN.9/WG.VI/WP.22 Page 9\nalone"]).items()}
+    clean = {(r.doc, r.page_id): r.page for r in headers.remove_headers(rows, ["doc"], single=True).collect()}
+    assert not any("WG.VI" in page for (doc, _), page in clean.items() if doc == 1) and "WG.VI" in clean[2, 0] and len(clean) == 11
+
+
 def test_normaliser_is_a_fixpoint(spark):
     rows = [("f", 0, 0, "甲", "a"), ("f", 0, 1, " 甲 ", "a"), ("f", 0, 2, "甲", "b"), ("f", 1, 0, "乙", ""), ("f", 1, 1, "乙", "乙"), ("g", 2, 0, "", "c"), ("g", 2, 1, "丙", "d")]
     df = spark.createDataFrame(rows, "`文件名` string, doc_id bigint, line_id bigint, zh_text string, en_text string").withColumns({"扩展字段": F.lit("{}"), "时间": F.lit("")})
