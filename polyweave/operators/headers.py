@@ -117,23 +117,42 @@ def similar_digest_counts(pages: DataFrame, key: list[str], least: float = 0.72,
     return found.groupBy(*key, F.col("x.digest").alias("digest")).agg(F.sum("x.n").alias("n"))
 
 
-def remove_headers(pages: DataFrame, key: list[str], single: bool = False) -> DataFrame:
-    """Pages without repeated first lines and page numbers, cut at the footnote rule and stripped.
+def noisy_tokens(pages: DataFrame, key: list[str], record: list[str]) -> DataFrame:
+    """key, token: tokens of heads that occur more often than half the record's pages in all languages, and more than once, or that are frequent in the key itself."""
+    total = pages.groupBy(*record).agg(F.count(F.lit(1)).alias("all_pages"))
+    everywhere = head_tokens(pages, record).join(total, record).where((F.col("n") > F.floor(F.col("all_pages") / 2)) & (F.col("n") > 1)).select(*record, "token")
+    counts = pages.groupBy(*key).agg(F.count(F.lit(1)).alias("pages"))
+    own = frequent_tokens(pages, key).join(counts, key).where(is_frequent(F.col("n"), F.col("pages"))).select(*key, "token")
+    return counts.select(*key).join(everywhere, record).select(*key, "token").unionByName(own).distinct()
+
+
+def remove_headers(pages: DataFrame, key: list[str], single: bool = False, record: list[str] | None = None) -> DataFrame:
+    """Pages without repeated first lines and without page numbers at the start of the others, cut at the footnote rule and stripped.
 
     single: first lines that occur once each but resemble one another are repeated ones too, as in the published script. Text
     at the start of pages that is alike on nearly all of them goes with them.
+    record: the part of the key that a document's languages share (the key itself where there is one only). Where it is given,
+    frequent tokens at the start of first lines go too, up to the first good one.
     """
     stats = page_offset(pages, key)
     lines = pages.select(*key, "page_id", F.posexplode(F.split(F.substring("page", 1, HEAD), "\n")).alias("at", "line"))
     counted = lines.withColumn("digest", line_digest(F.col("line"))).join(similar_digest_counts(pages, key, single=single), [*key, "digest"], "left").join(stats, key)
     drop = F.coalesce(is_frequent(F.col("n"), F.col("pages")), F.lit(False)) & (F.col("digest") != "")
-    number = F.concat(F.lit(r"^\s*"), (F.col("page_id") + F.col("offset")).cast("string"), F.lit(r"(?:/\d+)?\s+|^\s*\d+/\d+\s*$|^\s*\d+\s*$"))
-    kept = F.when(drop, F.lit(None)).otherwise(F.when(F.col("offset").isNotNull(), F.regexp_replace("line", number, F.lit(""))).otherwise(F.col("line")))
-    heads = counted.select(*key, "page_id", "at", kept.alias("line")).groupBy(*key, "page_id").agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("lines"))
-    head = F.array_join(F.filter(F.transform("lines", lambda x: x["line"]), lambda x: x.isNotNull()), "\n")
-    whole = F.concat(head, F.substring("page", HEAD + 1, F.length("page")))
+    # Of each line the tokens from the first good one on. Empty lines stay, and so does white space where the head ends inside a line.
+    tokens = counted.where(~drop).select(*key, "page_id", "offset", "at", F.posexplode_outer(py_split(F.col("line"))).alias("i", "token"))
+    number = F.col("token").rlike(r"^\d+(?:$|/\d+)") & F.array_contains(F.regexp_extract_all("token", F.lit(r"(\d+)"), F.lit(1)), (F.col("page_id") + F.col("offset")).cast("string"))
+    judged = tokens.withColumn("noisy", F.lit(False)) if record is None else tokens.join(noisy_tokens(pages, key, record).withColumn("noisy", F.lit(True)), [*key, "token"], "left")
+    judged = judged.withColumn("good", ~(F.coalesce(F.col("noisy"), F.lit(False)) | F.coalesce(number, F.lit(False))))
+    line = F.struct("at", F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("i", "token", "good")))).alias("tokens"))
+    kept = judged.groupBy(*key, "page_id", "at").agg(line.alias("x"))
+    first = lambda ts: F.coalesce(F.array_min(F.transform(F.filter(ts, lambda t: t["good"]), lambda t: t["i"])), F.lit(HEAD))
+    text = lambda ts: F.array_join(F.transform(F.slice(ts, first(ts) + 1, HEAD), lambda t: t["token"]), " ")
+    heads = kept.groupBy(*key, "page_id").agg(F.array_sort(F.collect_list("x")).alias("lines"))
+    head = F.coalesce(F.array_join(F.transform("lines", lambda x: text(x["tokens"])), "\n"), F.lit(""))
+    gap = F.when(F.substring("page", 1, HEAD).rlike(r"[^\S\n]\z"), F.lit(" ")).otherwise(F.lit(""))
+    whole = F.concat(head, gap, F.substring("page", HEAD + 1, F.length("page")))
     clean = F.trim(F.regexp_replace(F.element_at(F.split(whole, CUT), 1), r"^\s+|\s+$", ""))
-    return pages.join(heads, [*key, "page_id"]).select(*key, "page_id", clean.alias("page"))
+    return pages.join(heads, [*key, "page_id"], "left").select(*key, "page_id", clean.alias("page"))
 
 
 def index_titles(lines: Iterator[str]) -> list[str]:

@@ -244,10 +244,16 @@ b as (select doc_id, p::int as page_id, 'General Report' || chr(10) || (p + 2) |
 
 @query(rf"with {_PAGES}, t as (select doc_id, unnest(list_filter(regexp_split_to_array(substr(page, 1, 100), '\s+'), lambda x: x <> '')) as token from b) select doc_id, token, count(*) as n from t group by all")
 def header_tokens(spark, sf_dir):
-    """AGG-13, AGG-14, T6."""
+    """AGG-13, T6."""
     return headers.head_tokens(pages_of(spark, sf_dir), ["doc_id"])
 
 
+@query(rf"with {_PAGES}, t as (select doc_id, unnest(list_filter(regexp_split_to_array(substr(page, 1, 100), '\s+'), lambda x: x <> '')) as token from b), c as (select doc_id, count(*) as pages from b group by doc_id) select doc_id, token, count(*) as n from t join c using (doc_id) group by doc_id, token, pages having count(*) between 3 and pages")
+def frequent_header_tokens(spark, sf_dir):
+    """AGG-14."""
+    return headers.frequent_tokens(pages_of(spark, sf_dir), ["doc_id"])
+
+
 @query(rf"with {_PAGES}, t as (select doc_id, regexp_replace(unnest(string_split(substr(page, 1, 100), chr(10))), '\s+', '', 'g') as digest from b) select doc_id, digest, count(*) as n from t where digest <> '' group by all")
 def header_digests(spark, sf_dir):
     """AGG-15."""
@@ -265,8 +271,9 @@ def page_offset(spark, sf_dir):
 
 @query()
 def header_removal(spark, sf_dir):
-    """SEQ-08, JOIN-13, STR-13, SNK-07."""
-    return headers.remove_headers(pages_of(spark, sf_dir), ["doc_id"], single=True)
+    """SEQ-08, JOIN-13, STR-13, SNK-07, AGG-13/14: four documents in a row stand for the languages of a record."""
+    pages = pages_of(spark, sf_dir).withColumn("record", F.floor(F.col("doc_id") / 4))
+    return headers.remove_headers(pages, ["record", "doc_id"], single=True, record=["record"]).drop("record")
 
 
 @query(rf"""

@@ -2,6 +2,7 @@
 
 import datetime
 import difflib
+import itertools
 import random
 from collections import Counter
 
@@ -152,6 +153,32 @@ def test_headers_that_differ_by_page_go(spark):
     assert not any("WG.VI" in page for (doc, _), page in clean.items() if doc == 1) and "WG.VI" in clean[2, 0] and len(clean) == 11
 
 
+def brute_tokens(record):
+    """The published script's pages of a record (lang to pages), where all of its first lines are too different to go whole."""
+    everywhere = Counter(t for pages in record.values() for p in pages for t in p[: headers.HEAD].split())
+    half = sum(map(len, record.values())) // 2
+    out = {}
+    for lang, pages in record.items():
+        n = len(pages)
+        own = Counter(t for p in pages for t in p[: headers.HEAD].split())
+        frequent = {t for t, c in own.items() if 3 <= c <= n and (c >= n - 1 or n >= 5 and c > n * 0.666)}
+        for i, p in enumerate(pages):
+            lines = [x.split() for x in p[: headers.HEAD].splitlines()]
+            kept = [" ".join(itertools.dropwhile(lambda t: everywhere[t] > half or t in frequent, x)) for x in lines]
+            out[lang, i] = ("\n".join(kept) + p[headers.HEAD :]).strip()
+    return out
+
+
+def test_frequent_tokens_go_up_to_the_first_good_one(spark):
+    words = "amber birch cedar delta ember frost grove haven inlet joker kayak lemon".split()
+    page = lambda i, mark: f"A/1 {mark} {words[i] * 5} A/1 {words[-i - 1] * 4}\n{words[i - 3] * 20} A/1\nbody {words[i] * 20} end"
+    record = {"en": [page(i, "May") for i in range(6)], "fr": [page(i + 6, "mai") for i in range(5)], "de": ["A/1 Mai"]}
+    rows = spark.createDataFrame([(1, lang, i, p) for lang, pages in record.items() for i, p in enumerate(pages)] + [(2, "en", 0, "A/1 alone")], "record bigint, lang string, page_id int, page string")
+    got = {(r.record, r.lang, r.page_id): r.page for r in headers.remove_headers(rows, ["record", "lang"], single=True, record=["record"]).collect()}
+    assert got == {(1, *k): v for k, v in brute_tokens(record).items()} | {(2, "en", 0): "A/1 alone"}
+    assert got[1, "en", 0].startswith("amber") and got[1, "de", 0] == "Mai"
+
+
 def test_normaliser_is_a_fixpoint(spark):
     rows = [("f", 0, 0, "甲", "a"), ("f", 0, 1, " 甲 ", "a"), ("f", 0, 2, "甲", "b"), ("f", 1, 0, "乙", ""), ("f", 1, 1, "乙", "乙"), ("g", 2, 0, "", "c"), ("g", 2, 1, "丙", "d")]
     df = spark.createDataFrame(rows, "`文件名` string, doc_id bigint, line_id bigint, zh_text string, en_text string").withColumns({"扩展字段": F.lit("{}"), "时间": F.lit("")})
