@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import numerals, text as X, urls as U
-from ..operators import align, audit, blocks, charset, detectors, evaluate, frontier, headers, lines as L, records as R, relations
+from ..operators import align, audit, blocks, charset, detectors, evaluate, frontier, headers, joiners, lines as L, records as R, relations
 from ..sources import readers
 
 QUERIES: dict = {}
@@ -416,10 +416,15 @@ def seven_day_buckets(spark, sf_dir):
 @query("""with w as (select source, unnest(string_split(lower(text), ' ')) as word, generate_subscripts(string_split(lower(text), ' '), 1) as i, doc_id from documents), p as (select doc_id, word, lag(word) over (partition by doc_id order by i) as prev from w)
 select prev, word, count(*) as n from p where prev is not null group by all having count(*) > 20""")
 def word_pairs(spark, sf_dir):
-    """AGG-18: neighbours within a document, those that occur over twenty times."""
-    words = table(spark, sf_dir, "documents").select(F.split(F.lower("text"), " ").alias("w")).where("size(w) > 1")
-    pairs = words.select(F.explode(F.arrays_zip(F.slice("w", 1, F.size("w") - 1).alias("prev"), F.slice("w", 2, F.size("w")).alias("word"))).alias("p"))
-    return pairs.groupBy("p.prev", "p.word").agg(F.count(F.lit(1)).alias("n")).where("n > 20")
+    """Of all_word_pairs those that occur over twenty times, as its SQL says: a part only."""
+    return all_word_pairs(spark, sf_dir).where("n > 20")
+
+
+@query("""with w as (select unnest(string_split(lower(text), ' ')) as word, generate_subscripts(string_split(lower(text), ' '), 1) as i, doc_id from documents), p as (select doc_id, word, lag(word) over (partition by doc_id order by i) as prev from w)
+select prev, word, count(*) as n from p where prev is not null group by all""")
+def all_word_pairs(spark, sf_dir):
+    """AGG-18: neighbours within a document, from the first occurrence on."""
+    return joiners.pair_counts(table(spark, sf_dir, "documents").select(F.split(F.lower("text"), " ").alias("words")))
 
 
 @query("select doc_id, round(length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / length(text), 9) as rate, len(string_split(text, chr(10))) > 2 as long_enough from documents")

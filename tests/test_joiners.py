@@ -1,6 +1,10 @@
+from collections import Counter
+from itertools import pairwise
+
 from pyspark.sql import functions as F
 
 from polyweave.operators import joiners, relations
+from polyweave.plans import catalogue
 
 
 def test_join_lines():
@@ -16,6 +20,14 @@ def test_chinese():
     assert joiners.merge_chinese_segments(["我", "来", "abc", "生"]) == ["我来", "abc", "生"]
 
 
+def test_word_pairs_count_from_the_first(spark, tmp_path):
+    texts = ["A b a b c", "single", "", "c a b", "x  y"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    brute = Counter(p for t in texts for p in pairwise(t.lower().split(" ")))
+    assert {(r.prev, r.word): r.n for r in catalogue.QUERIES["all_word_pairs"](spark, str(tmp_path)).collect()} == brute
+    assert brute["a", "b"] == 3 and brute["c", "a"] == 1
+
+
 def test_info_pages(spark):
     text = "United Nations\nNew York\nCorrections will be issued after the end of the session in a consolidated corrigendum.\nText"
     assert spark.createDataFrame([(text,)], "x string").select(joiners.without_info_pages(F.col("x")).alias("y")).first().y == "\nText"
