@@ -378,11 +378,17 @@ def anti_labels(spark, sf_dir):
 
 @query("""select coalesce(d.doc_id, l.doc_id) as doc_id, case when l.doc_id is null then '+' else '-' end as side from (select doc_id from documents where doc_id % 3 <> 0) d full join (select doc_id from labels) l on d.doc_id = l.doc_id where d.doc_id is null or l.doc_id is null""")
 def full_outer_difference(spark, sf_dir):
-    """JOIN-08: + is left only, - right only."""
+    """document_label_difference without every third document, as its SQL says: a part only."""
     d, l = table(spark, sf_dir, "documents").where("doc_id % 3 <> 0").select("doc_id", F.lit(True).alias("a")), table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("b"))
     return d.join(l, "doc_id", "full").where("a is null or b is null").select("doc_id", F.when(F.col("b").isNull(), "+").otherwise("-").alias("side"))
 
 
+@query("""select coalesce(d.doc_id, l.doc_id) as doc_id, case when l.doc_id is null then '+' else '-' end as side from (select distinct doc_id from documents) d full join (select distinct doc_id from labels) l on d.doc_id = l.doc_id where d.doc_id is null or l.doc_id is null""")
+def document_label_difference(spark, sf_dir):
+    """JOIN-08: + documents without a label, - labels without a document."""
+    return relations.difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
 @query("""with u as (select page_id, regexp_matches(url, '/(en|fr|de|es)/') as ok, url from pages), w as (select page_id, min(ok::int) over z as good, count(*) over z as n, list(url) over z as urls from u window z as (order by page_id rows between current row and 5 following))
 select page_id, urls from w where n = 6 and good = 1""")
 def six_link_window(spark, sf_dir):
@@ -555,8 +561,18 @@ def reworked_rows(spark, sf_dir):
 
 @query("""select c_custkey as value, 'c' as name, n_name as key from customer join nation on c_nationkey = n_nationkey where c_custkey % 2 = 0 union all select c_custkey, 'd', n_name from customer join nation on c_nationkey = n_nationkey where c_custkey % 2 = 0""")
 def inverted_maps(spark, sf_dir):
+    """all_inverted_maps of every second customer, as its SQL says: a part only."""
+    return _inverted(table(spark, sf_dir, "customer").where("c_custkey % 2 = 0"), table(spark, sf_dir, "nation"))
+
+
+@query("""select c_custkey as value, 'c' as name, n_name as key from customer join nation on c_nationkey = n_nationkey union all select c_custkey, 'd', n_name from customer join nation on c_nationkey = n_nationkey""")
+def all_inverted_maps(spark, sf_dir):
     """JOIN-07, MAP-01: maps of rows as rows to look up in."""
-    rows = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return _inverted(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+
+
+def _inverted(customers: DataFrame, nations: DataFrame) -> DataFrame:
+    rows = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = rows.select(F.col("n_name").alias("key"), F.create_map(F.lit("c"), "c_custkey", F.lit("d"), "c_custkey").alias("m"))
     return relations.inverted(rows, "key", "m")
 

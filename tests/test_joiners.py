@@ -45,3 +45,15 @@ def test_relations(spark):
     assert relations.already_done(a, [b, a.where("k = 1")], "k").count() == 2
     lines = spark.createDataFrame([(1, ["abc", "中"])], "k int, x array<string>")
     assert relations.translated(lines, "k", "x", lambda xs: [x.upper() for x in xs]).first().x == ["ABC", "中"]
+
+
+def test_whole_tables_are_inverted_and_compared(spark, tmp_path):
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    put("documents", [(i,) for i in (0, 1, 2, 3, 6)], "doc_id bigint")
+    put("labels", [(i,) for i in (1, 3, 4, 9)], "doc_id bigint")
+    put("customer", [(1, 7), (2, 7), (3, 8)], "c_custkey bigint, c_nationkey bigint")
+    put("nation", [(7, "x"), (8, "y")], "n_nationkey bigint, n_name string")
+    got = sorted((r.doc_id, r.side) for r in catalogue.QUERIES["document_label_difference"](spark, str(tmp_path)).collect())
+    assert got == [(0, "+"), (2, "+"), (4, "-"), (6, "+"), (9, "-")]
+    got = sorted((r.value, r.name, r.key) for r in catalogue.QUERIES["all_inverted_maps"](spark, str(tmp_path)).collect())
+    assert got == [(i, n, k) for i, k in ((1, "x"), (2, "x"), (3, "y")) for n in "cd"]
