@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +21,10 @@ def step(states: DataFrame, links: DataFrame) -> DataFrame:
     return states.where("status <> 0").unionByName(visited).unionByName(targets)
 
 
-def crawl(seeds: DataFrame, links: DataFrame, rounds: int, stage=materialised) -> DataFrame:
-    """Rounds until nothing is new, or so many."""
+def crawl(seeds: DataFrame, links: DataFrame, rounds: int | None = None, stage=materialised) -> DataFrame:
+    """Rounds until nothing is new, or so many if they are given."""
     states = seeds.select("url", F.lit(0).alias("status")).distinct()
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         states = stage(step(states, links))
         if states.where("status = 0").isEmpty():
             break

@@ -343,11 +343,23 @@ s as (select 'p0' as url, 0 as d union select l.target, d + 1 from s join l on s
 select url, case when d >= 5 then 0 when exists (select 1 from l where l.url = f.url) then 1 else -1 end::int as status from f
 """)
 def crawl_frontier(spark, sf_dir):
-    """GRA-03, SRC-11, SNK-10: five rounds from one page."""
+    """Five rounds from one page, as its SQL says; whole_crawl goes on until nothing is new."""
     seeds = spark.createDataFrame([("p0",)], "url string")
     return frontier.crawl(seeds, link_table(spark, sf_dir), 5)
 
 
+@query(r"""
+with recursive l as (select 'p' || page_id as url, 'p' || unnest([page_id * 2 + 1, page_id * 2 + 2, page_id // 2]) as target from pages),
+s as (select 'p0' as url union select l.target from s join l on s.url = l.url)
+select url, case when exists (select 1 from l where l.url = s.url) then 1 else -1 end::int as status from s
+""")
+def whole_crawl(spark, sf_dir):
+    """GRA-03, SRC-11, SNK-10: from one page until no address is new. Each page links to two behind it and one before it, so all are reached, and those behind the last fail."""
+    to = F.explode(F.array(F.col("page_id") * 2 + 1, F.col("page_id") * 2 + 2, F.floor(F.col("page_id") / 2)))
+    links = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), "page_id").alias("url"), to.alias("to")).select("url", F.concat(F.lit("p"), "to").alias("target"))
+    return frontier.crawl(spark.createDataFrame([("p0",)], "url string"), links)
+
+
 @query("select doc_id as id, md5(text) as hash, (doc_id > min(doc_id) over (partition by md5(text)))::int as is_duplicate from documents")
 def content_hash_marks(spark, sf_dir):
     """SET-03, STR-17, T14."""
