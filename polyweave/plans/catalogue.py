@@ -164,9 +164,23 @@ r as (select doc_id, line_id, c, lag(line_id) over w as prev, lag(c) over w as p
 select doc_id, unnest(range(prev, line_id - 1)) as line_id from r where c = pc + 1 and line_id - 2 >= prev
 """)
 def list_marker_runs(spark, sf_dir):
+    """all_list_marker_runs with markers before line 60 only, as its SQL says: a part only."""
+    return _marker_runs(table(spark, sf_dir, "documents"), F.col("line_id") < 60)
+
+
+@query(rf"""
+with {_LINES}, m as (select doc_id, line_id, (line_id // 3 % 5 + 1) as c from l where line_id % 3 = 0),
+r as (select doc_id, line_id, c, lag(line_id) over w as prev, lag(c) over w as pc from m window w as (partition by doc_id order by line_id))
+select doc_id, unnest(range(prev, line_id - 1)) as line_id from r where c = pc + 1 and line_id - 2 >= prev
+""")
+def all_list_marker_runs(spark, sf_dir):
     """STR-18/19, WIN-05: numbered lines are made of every third line, with counters that follow only sometimes."""
-    rows = L.to_lines(table(spark, sf_dir, "documents"))
-    made = rows.withColumn("line", F.when((F.col("line_id") % 3 == 0) & (F.col("line_id") < 60), F.concat((F.floor(F.col("line_id") / 3) % 5 + 1).cast("string"), F.lit(". "), "line")).otherwise(F.concat(F.lit("x"), "line")))
+    return _marker_runs(table(spark, sf_dir, "documents"), F.lit(True))
+
+
+def _marker_runs(docs: DataFrame, marked) -> DataFrame:
+    rows = L.to_lines(docs)
+    made = rows.withColumn("line", F.when((F.col("line_id") % 3 == 0) & marked, F.concat((F.floor(F.col("line_id") / 3) % 5 + 1).cast("string"), F.lit(". "), "line")).otherwise(F.concat(F.lit("x"), "line")))
     return L.list_runs(made).withColumn("line_id", F.col("line_id").cast("bigint"))
 
 

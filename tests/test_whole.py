@@ -14,3 +14,9 @@ def test_crawl_goes_on_until_nothing_is_new(spark, tmp_path):
     assert got == {f"p{i}": 1 if i < 100 else -1 for i in range(201)}
     chain = spark.createDataFrame([(str(i), str(i + 1)) for i in range(7)] + [("6", "2")], "url string, target string")
     assert {r.url: r.status for r in frontier.crawl(spark.createDataFrame([("0",)], "url string"), chain).collect()} == {str(i): 1 if i < 7 else -1 for i in range(8)}
+
+
+def test_list_runs_behind_line_sixty(spark, tmp_path):
+    put(spark, tmp_path, "documents", [(1, "\n".join("abc" for _ in range(200)))], "doc_id bigint, text string")
+    got = sorted(r.line_id for r in catalogue.QUERIES["all_list_marker_runs"](spark, str(tmp_path)).collect())
+    assert got == [j for i in range(3, 200, 3) if i // 3 % 5 for j in range(i - 3, i - 1)]
