@@ -418,12 +418,13 @@ def document_label_difference(spark, sf_dir):
 @query("""with u as (select page_id, regexp_matches(url, '/(en|fr|de|es)/') as ok, url from pages), w as (select page_id, min(ok::int) over z as good, count(*) over z as n, list(url) over z as urls from u window z as (order by page_id rows between current row and 5 following))
 select page_id, urls from w where n = 6 and good = 1""")
 def six_link_window(spark, sf_dir):
-    """WIN-07: six addresses in a row that all name a language. Stretches of positions with the next stretch's first five rows, so that no window holds all rows."""
+    """WIN-07: six addresses in a row that all name a language. Rows are numbered and cut into stretches, each with the next stretch's first five rows, so that no window holds all rows."""
     p = table(spark, sf_dir, "pages").select("page_id", "url", F.col("url").rlike("/(en|fr|de|es)/").alias("ok"))
     size = 4096
-    part = F.floor(F.col("page_id") / size)
-    # Every row also goes to the stretches before it that it can be needed in.
-    spread = p.withColumn("part", F.explode(F.array_distinct(F.array(part, F.floor((F.col("page_id") - 64) / size)))))
+    p = R.numbered(p.withColumn("all", F.lit(0)), "all", ["page_id"], F.floor(F.col("page_id") / size), "row").drop("all")
+    part = F.floor((F.col("row") - 1) / size)
+    # The first five rows of a stretch also go to the one before it, which needs them.
+    spread = p.withColumn("part", F.explode(F.array_distinct(F.array(part, F.floor((F.col("row") - 6) / size)))))
     w = Window.partitionBy("part").orderBy("page_id").rowsBetween(0, 5)
     out = spread.withColumns({"good": F.min(F.col("ok").cast("int")).over(w), "urls": F.collect_list("url").over(w)})
     return out.where((part == F.col("part")) & (F.size("urls") == 6) & (F.col("good") == 1)).select("page_id", "urls")

@@ -20,3 +20,12 @@ def test_list_runs_behind_line_sixty(spark, tmp_path):
     put(spark, tmp_path, "documents", [(1, "\n".join("abc" for _ in range(200)))], "doc_id bigint, text string")
     got = sorted(r.line_id for r in catalogue.QUERIES["all_list_marker_runs"](spark, str(tmp_path)).collect())
     assert got == [j for i in range(3, 200, 3) if i // 3 % 5 for j in range(i - 3, i - 1)]
+
+
+def test_six_links_over_gaps_and_boundaries(spark, tmp_path):
+    ids = [i * 100 for i in range(200)] + [30_000 + i for i in range(9_000)] + [4096 * 20 - 2, 4096 * 20 - 1, *range(4096 * 20 + 64, 4096 * 20 + 74)]
+    rows = [(i, f"https://h/{'xx' if k % 11 == 5 else 'en'}/{i}") for k, i in enumerate(ids)]
+    put(spark, tmp_path, "pages", rows, "page_id bigint, url string")
+    brute = {rows[k][0]: [u for _, u in rows[k : k + 6]] for k in range(len(rows) - 5) if all("/en/" in u for _, u in rows[k : k + 6])}
+    got = catalogue.QUERIES["six_link_window"](spark, str(tmp_path)).collect()
+    assert {r.page_id: r.urls for r in got} == brute and len(got) == len(brute)
