@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 Tokenizer = Callable[[str], list[str]]
 TOKENIZERS: dict[str, Tokenizer] = {"words": str.split, "characters": lambda s: [c for c in s if not c.isspace()]}
@@ -132,3 +133,12 @@ def align_rows(df: DataFrame, key: str, source: str, target: str, tokenizer: str
 
 def unmatched(n_lines: int, matched: list[int]) -> list[int]:
     return sorted(set(range(n_lines)) - set(matched))
+
+
+def unmatched_rows(df: DataFrame, aligned: DataFrame, key: str, source: str, target: str) -> DataFrame:
+    """Places of the lines of both sides that no row of align_rows holds; all of them where a document has none."""
+    side = lambda k: F.flatten(F.collect_list(F.split(F.split_part("clean_para_index_set_pair", F.lit("|"), F.lit(k)), ",").cast("array<int>")))
+    matched = aligned.groupBy(key).agg(side(1).alias("_s"), side(2).alias("_t"))
+    none = F.array().cast("array<int>")
+    left = lambda lines, found: F.array_except(F.when(F.size(lines) > 0, F.sequence(F.lit(0), F.size(lines) - 1)).otherwise(none), F.coalesce(F.col(found), none))
+    return df.select(key, source, target).join(matched, key, "left").select(key, left(source, "_s").alias("source_unmatched"), left(target, "_t").alias("target_unmatched"))

@@ -486,7 +486,7 @@ def last_value_wins(spark, sf_dir):
 
 @query("""select doc_id, list_distinct(list_filter(string_split(text, ' '), lambda x: x like '%a')) as w from documents where doc_id < 0""")
 def set_algebra_empty(spark, sf_dir):
-    """SET-06/08: an empty input keeps its schema."""
+    """An empty input keeps its schema."""
     return table(spark, sf_dir, "documents").where("doc_id < 0").select("doc_id", F.array_distinct(F.filter(F.split("text", " "), lambda x: x.endswith("a"))).alias("w"))
 
 
@@ -513,11 +513,22 @@ def link_tree_unnest(spark, sf_dir):
     return rows.select("page_id", "language", "f.type", "f.url").where("type = 'doc'")
 
 
+def _two_sides(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "").alias("olines"))
+    return docs.join(wrapped(spark, sf_dir).select("doc_id", "lines"), "doc_id")
+
+
 @query()
 def align_n_to_m(spark, sf_dir):
     """ALN-01..08, GRA-02: original lines against re-wrapped ones."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "").alias("olines"))
-    return align.align_rows(docs.join(wrapped(spark, sf_dir).select("doc_id", "lines"), "doc_id"), "doc_id", "olines", "lines")
+    return align.align_rows(_two_sides(spark, sf_dir), "doc_id", "olines", "lines")
+
+
+@query()
+def unmatched_paragraphs(spark, sf_dir):
+    """SET-08: lines of both sides that no alignment of their document holds."""
+    sides = _two_sides(spark, sf_dir)
+    return align.unmatched_rows(sides, align.align_rows(sides, "doc_id", "olines", "lines"), "doc_id", "olines", "lines")
 
 
 @query()
@@ -538,18 +549,25 @@ def rule_based_breaks(spark, sf_dir):
 
 @query("""select x, r, c from (values ('XIV. ', 14, 14), ('IX', 9, 9), ('MCMXCIV', 1994, 1994), ('', 0, 0)) t(x, r, c)""")
 def roman_numerals(spark, sf_dir):
-    """STR-18."""
+    """STR-18 on literals; line_numerals reads the documents."""
     rows = spark.createDataFrame([("XIV. ", 14), ("IX", 9), ("MCMXCIV", 1994), ("", 0)], "x string, r int")
     return rows.select("x", "r", numerals.roman(F.col("x")).alias("c"))
 
 
 @query("""select x, r, c from (values ('二十一、', 21, 21), ('十', 10, 10), ('十五', 15, 15), ('三百零四', 304, 304)) t(x, r, c)""")
 def chinese_numerals(spark, sf_dir):
-    """STR-18."""
+    """STR-18 on literals; line_numerals reads the documents."""
     rows = spark.createDataFrame([("二十一、", 21), ("十", 10), ("十五", 15), ("三百零四", 304)], "x string, r int")
     return rows.select("x", "r", numerals.chinese(F.col("x")).alias("c"))
 
 
+@query()
+def line_numerals(spark, sf_dir):
+    """STR-18: every line of the documents as a Roman and as a Chinese numeral."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_id", "line"))
+    return lines.select("doc_id", "line_id", numerals.roman(F.col("line")).alias("roman"), numerals.chinese(F.col("line")).alias("chinese"))
+
+
 @query("""select event_type, date_trunc('day', ts)::timestamp as day, count(*) as n, round(sum(value), 4) as total from events group by all""")
 def daily_events(spark, sf_dir):
     """STM-00: what the tumbling stream gives, in one batch."""

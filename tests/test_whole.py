@@ -1,6 +1,7 @@
 """Whole jobs of the catalogue on small fixtures, against brute force."""
 
-from polyweave.operators import frontier
+from polyweave.functions import numerals
+from polyweave.operators import align, frontier
 from polyweave.plans import catalogue
 
 
@@ -29,3 +30,30 @@ def test_six_links_over_gaps_and_boundaries(spark, tmp_path):
     brute = {rows[k][0]: [u for _, u in rows[k : k + 6]] for k in range(len(rows) - 5) if all("/en/" in u for _, u in rows[k : k + 6])}
     got = catalogue.QUERIES["six_link_window"](spark, str(tmp_path)).collect()
     assert {r.page_id: r.urls for r in got} == brute and len(got) == len(brute)
+
+
+def test_unmatched_lines_of_both_sides(spark):
+    rows = [(1, ["one two three", "zzz", "four five"], ["one two", "three", "qqq www", "four five"]), (2, ["a b"], ["c d"]), (3, [], ["x"])]
+    df = spark.createDataFrame(rows, "k bigint, s array<string>, t array<string>")
+    aligned = align.align_rows(df, "k", "s", "t")
+    held = {}
+    for r in aligned.collect():
+        for side, part in enumerate(r.clean_para_index_set_pair.split("|")):
+            held.setdefault((r.k, side), []).extend(map(int, part.split(",")))
+    brute = {k: tuple(align.unmatched(len(x), held.get((k, i), [])) for i, x in enumerate((s, t))) for k, s, t in rows}
+    got = {r.k: (r.source_unmatched, r.target_unmatched) for r in align.unmatched_rows(df, aligned, "k", "s", "t").collect()}
+    assert got == brute == {1: ([1], [2]), 2: ([0], [0]), 3: ([], [0])}
+
+
+def brute_roman(text):
+    total = last = 0
+    for v in (numerals.ROMAN[c] for c in reversed(text) if c in numerals.ROMAN):
+        total += -v if v < last else v
+        last = v
+    return total
+
+
+def test_numerals_of_lines(spark, tmp_path):
+    put(spark, tmp_path, "documents", [(1, "XIV. Item\n\nMCMXCIV"), (2, "二十一、甲\n三百零四")], "doc_id bigint, text string")
+    got = {(r.doc_id, r.line_id): (r.roman, r.chinese) for r in catalogue.QUERIES["line_numerals"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 0): (brute_roman("XIV. Item"), 0), (1, 1): (0, 0), (1, 2): (1994, 0), (2, 0): (0, 21), (2, 1): (0, 304)}
