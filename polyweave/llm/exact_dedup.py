@@ -1,36 +1,47 @@
 """Exact dedup by content-defined chunk recipes, with DataFrame functions only.
 
-Each normalised text is cut at content-defined places (the first sentence mark after a minimum length), so equal
-stretches give equal chunks. A chunk travels as a weak 64-bit hash and its SHA-256, never as text. The chunk dictionary
-verifies weak hashes: two chunks under one weak hash whose digests differ get different ordinals, and a chunk's
-identifier is (weak hash, ordinal). Documents are then grouped by their ordered identifier lists.
+Each normalised text is cut behind windows of four bytes whose low half-bytes match a fixed rule (about one window in 240
+does), at least 32 bytes apart. A cut depends on the bytes around it alone, so equal stretches give equal chunks wherever
+they stand, and after an insertion the old cuts come back at once. A chunk travels as a weak 64-bit hash and its SHA-256,
+never as text. The chunk dictionary verifies weak hashes: two chunks under one weak hash whose digests differ get different
+ordinals, and a chunk's identifier is (weak hash, ordinal). Documents are then grouped by their ordered identifier lists and
+by nothing else; text_sha256 is a column of the row that stays.
 
 Defined results: null text counts as empty and all empty texts are equal; a null doc_id sorts after all others; of
-repeated rows one stays; an empty table gives an empty result; further columns are ignored. A hot chunk or group is
-combined map-side before each shuffle, and the joins back have two plain sides, which adaptive execution can split.
+repeated rows one stays; an empty table gives an empty result; further columns are ignored. A text without cuts (one letter
+repeated) is cut every most_chunk bytes. A hot chunk or group is combined map-side before each shuffle, and the joins back
+have two plain sides, which adaptive execution can split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, staged, text_of
 
+#: A cut falls behind four bytes, written in hexadecimal, whose low halves are in these classes.
+WINDOW = ".[4-7].[0-3].[89AB].[C-F]"
+WINDOW_BYTES = 4
+
 
 def chunk_pattern(least: int, most: int) -> str:
-    return rf"(?s).{{{least},{most - 1}}}?[.!?;]|.{{1,{most}}}"
+    """Chunks of a text in hexadecimal: up to the first window behind the least length, else the most bytes."""
+    return rf"(?:..){{{max(0, least - WINDOW_BYTES)},{most - WINDOW_BYTES}}}?{WINDOW}|(?:..){{1,{most}}}"
 
 
-def exact_dedup(docs: DataFrame, least_chunk: int = 1024, most_chunk: int = 8192) -> DataFrame:
+def exact_dedup(docs: DataFrame, least_chunk: int = 32, most_chunk: int = 8192, weak: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, n_chunks for each row of docs(doc_id, text).
 
     Texts are equal when identical without white space. The row with the most code points, then the smallest doc_id stays.
+    weak: the 64-bit hash that the chunk dictionary is built on; a bad one costs time, not right results.
     """
     norm = docs.select("doc_id", F.length(text_of("text")).alias("points"), F.regexp_replace(text_of("text"), SPACE_CLASS + "+", "").alias("norm"))
     chunks = F.transform(
-        F.regexp_extract_all("norm", F.lit(chunk_pattern(least_chunk, most_chunk)), F.lit(0)),
-        lambda c: F.struct(F.xxhash64(c).alias("weak"), F.unhex(F.sha2(c, 256)).alias("strong")),
+        F.regexp_extract_all(F.hex(F.col("norm").cast("binary")), F.lit(chunk_pattern(least_chunk, most_chunk)), F.lit(0)),
+        lambda c: F.struct(weak(c).cast("long").alias("weak"), F.unhex(F.sha2(c, 256)).alias("strong")),
     )
     meta = staged(
         norm.select("doc_id", "points", F.sha2("norm", 256).alias("sha"), chunks.alias("chunks")).withColumn("uid", F.monotonically_increasing_id()),
@@ -47,12 +58,12 @@ def exact_dedup(docs: DataFrame, least_chunk: int = 1024, most_chunk: int = 8192
         .select("uid", F.transform("placed", lambda p: F.struct(p["weak"].alias("weak"), p["ordinal"].alias("ordinal"))).alias("recipe"))
     )
     rows = staged(meta.select("uid", "doc_id", "points", "sha").join(recipes, "uid"), "dedup-recipes")
-    best = F.min(F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("last"), "doc_id", "uid"))
+    best = F.min(F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("last"), "doc_id", "uid", "sha"))
     # Written first: joined as they come from the aggregation, they would bind the rows of a hot group to one task.
-    groups = staged(rows.groupBy("recipe", "sha").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")), "dedup-groups")
-    return rows.join(groups, ["recipe", "sha"]).select(
+    groups = staged(rows.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")), "dedup-groups")
+    return rows.drop("sha").join(groups, "recipe").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("uid") == F.col("best.uid")).alias("kept"),
-        F.col("sha").alias("text_sha256"), F.size("recipe").cast("long").alias("n_chunks"),
+        F.col("best.sha").alias("text_sha256"), F.size("recipe").cast("long").alias("n_chunks"),
     )
 
 

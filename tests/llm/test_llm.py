@@ -66,11 +66,33 @@ def test_exact_dedup_of_odd_rows(odd, none):
     assert set(kept.values()) == {1} and len(kept) == len(groups)
 
 
-def test_chunks_cover_the_text_and_follow_content():
+def chunks_of(text):
+    return [m.group(0) for m in re.finditer(exact_dedup.chunk_pattern(32, 8192), text.encode().hex().upper())]
+
+
+def test_chunks_cover_the_text_and_come_back_after_an_insertion(spark):
     rng = random.Random(1)
-    text = "".join(rng.choice("abcdefgh.,") for _ in range(50_000))
-    cut = re.compile(exact_dedup.chunk_pattern(1024, 8192)).findall
-    assert "".join(cut(text)) == text and set(cut("x." + text)[3:]) & set(cut(text))
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    text = "".join(rng.choice(words) for _ in range(20_000))
+    own = chunks_of(text)
+    assert "".join(own) == text.encode().hex().upper() and 100 < len(text) / len(own) < 600
+    for n in (1, 7, 40, 100, 1024):
+        again = chunks_of("x" * n + text)
+        assert len(set(again) & set(own)) > 0.9 * len(own)
+    for odd_text in ("", "a", "x" * 30_000, "é中😀" * 5000):
+        assert "".join(chunks_of(odd_text)) == odd_text.encode().hex().upper()
+    df = spark.createDataFrame([(1, text), (2, "é中😀" * 5000)], "doc_id int, text string")
+    got = {r.doc_id: r.c for r in df.select("doc_id", F.regexp_extract_all(F.hex(F.col("text").cast("binary")), F.lit(exact_dedup.chunk_pattern(32, 8192)), F.lit(0)).alias("c")).collect()}
+    assert got == {1: own, 2: chunks_of("é中😀" * 5000)}
+
+
+def test_weak_hashes_that_collide_are_told_apart(spark, odd):
+    plain, weak = exact_dedup.exact_dedup(odd).drop("n_chunks"), exact_dedup.exact_dedup(odd, weak=lambda c: F.length(c) % 3).drop("n_chunks")
+    assert sorted(map(str, plain.collect())) == sorted(map(str, weak.collect()))
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice("ab") for _ in range(9))) for i in range(300)]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"), weak=lambda c: F.lit(7)).collect()
+    assert {(r.doc_id, r.keep_id) for r in got} == {(i, min(j for j, u in rows if u == t)) for i, t in rows}
 
 
 # near-dedup
