@@ -8,8 +8,10 @@ Template: each turn is <s>role[INST]text</s>. In roles and texts a backslash is
 behind its first character; dropping one backslash before every character restores them. The loss mask is the place of each
 assistant text in the output.
 
-Defined results: null role and text count as empty; a message whose parent is not in its tree is a root; equal scores are ranked
-by leaf; repeated rows of a conversation are turns of their own; an empty table gives an empty result; further columns are
+Defined results: null role and text count as empty, a null score as 0; a message whose parent is not in its tree is a root; a
+cycle of replies is broken at its smallest message, which becomes a root; of rows with one tree and message the smallest
+(parent, role, text, score) counts, and rows without tree or message none; equal scores are ranked by leaf. chains makes each
+of a conversation's rows a turn of its own, repeated ones too. An empty table gives an empty result; further columns are
 ignored. A conversation is one output row, so its size is bounded by what one row holds.
 """
 
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, staged, text_of
+from .common import staged, text_of
 
 #: Control strings of the template and of its kin (fixed values): <s> </s> [INST] [/INST] <<SYS>> <</SYS>>.
 CONTROL_START = r"([<\[])(?=/?s>|/?INST\]|</?SYS>>)"
@@ -33,18 +35,48 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
+def doubled(jumps: DataFrame) -> DataFrame:
+    """Jumps (tree, node, up) of twice the reach."""
+    onwards = jumps.select("tree", F.col("node").alias("middle"), "up")
+    return jumps.withColumnRenamed("up", "middle").join(onwards, ["tree", "middle"]).select("tree", "node", "up")
+
+
+def levels(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+    """Jumps of 1, 2, 4, ... replies, as far as there are any; and the messages on cycles, which jumps never leave, if there are some."""
+    known = nodes.select("tree", F.col("node").alias("parent"))
+    jumps, out, longest = staged(nodes.join(known, ["tree", "parent"]).select("tree", "node", F.col("parent").alias("up")), "jumps"), [], None
+    while not jumps.isEmpty():
+        if len(out) >= 6 and longest is None:
+            longest = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if longest is not None and 1 << len(out) > longest:
+            return out, jumps.select("tree", F.col("up").alias("node")).distinct()
+        out.append(jumps)
+        jumps = staged(doubled(jumps), "jumps")
+    return out, None
+
+
+def without_cycles(nodes: DataFrame, on_cycle: DataFrame, rounds: int) -> DataFrame:
+    """nodes, with the smallest message of each cycle as a root."""
+    state = staged(nodes.join(on_cycle, ["tree", "node"], "left_semi").select("tree", "node", F.col("parent").alias("up"), F.col("node").alias("low")), "cycles")
+    for _ in range(rounds):
+        onwards = state.select("tree", F.col("node").alias("up"), F.col("up").alias("further"), F.col("low").alias("their_low"))
+        state = staged(state.join(onwards, ["tree", "up"]).select("tree", "node", F.col("further").alias("up"), F.least("low", "their_low").alias("low")), "cycles")
+    smallest = state.where("node = low").select("tree", "node", F.lit(True).alias("cut"))
+    return nodes.join(smallest, ["tree", "node"], "left").select("tree", "node", F.when(F.col("cut").isNull(), F.col("parent")).alias("parent"))
+
+
 def paths(messages: DataFrame) -> DataFrame:
-    """tree, leaf, message, distance (from the leaf) for every message on every root-to-leaf path."""
+    """tree, leaf, message, distance (from the leaf) for every message on every root-to-leaf path. A message is one row of its tree."""
     nodes = messages.select("tree", F.col("message").alias("node"), "parent")
-    known = nodes.select("tree", F.col("node").alias("parent"))
-    jumps = staged(nodes.join(known, ["tree", "parent"]).select("tree", "node", F.col("parent").alias("up")), "jumps")
+    jumps, on_cycle = levels(nodes)
+    if on_cycle is not None:
+        nodes = staged(without_cycles(nodes, on_cycle, len(jumps)), "cut-cycles")
+        jumps, _ = levels(nodes)
     leaves = nodes.join(known_parents(nodes), (nodes["tree"] == F.col("of_tree")) & (nodes["node"] == F.col("of_node")), "left_anti")
-    out, step = staged(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("distance")), "paths"), 1
-    while not jumps.isEmpty():
-        further = out.join(jumps, ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("distance") + step).alias("distance"))
+    out = staged(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("distance")), "paths")
+    for k, level in enumerate(jumps):
+        further = out.join(level, ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("distance") + (1 << k)).alias("distance"))
         out = staged(out.unionByName(further), "paths")
-        twice = jumps.withColumnRenamed("up", "middle").join(jumps.select("tree", F.col("node").alias("middle"), "up"), ["tree", "middle"])
-        jumps, step = staged(twice.select("tree", "node", "up"), "jumps"), 2 * step
     return out.withColumnRenamed("node", "message")
 
 
@@ -61,22 +93,30 @@ def chosen(steps: DataFrame, messages: DataFrame, branches: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(*order))).where(F.col("rank") <= branches).select("tree", "leaf", "rank", "score")
 
 
-def format_trees(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """Of messages(tree, message, parent, role, text, score): tree, leaf, rank, score, formatted and loss_spans (start, length; from 0)."""
+def single(messages: DataFrame) -> DataFrame:
+    """One row for each message of each tree."""
+    own = F.min(F.struct("parent", "role", "text", "score")).alias("own")
+    return messages.where("tree is not null and message is not null").groupBy("tree", "message").agg(own).select("tree", "message", "own.*")
+
+
+def format_trees(messages: DataFrame, branches: int = 1, repeated: bool = True) -> DataFrame:
+    """Of messages(tree, message, parent, role, text, score): tree, leaf, rank, score, formatted and loss_spans (start, length; from 0).
+
+    repeated: rows with one tree and message may occur; without, the caller says that there are none.
+    """
+    if repeated:
+        messages = staged(single(messages), "messages")
     steps = paths(messages)
     best = chosen(steps, messages, branches)
-    said = messages.select("tree", "message", text_of("role").alias("role"), text_of("text").alias("text"))
-    turn = F.struct((-F.col("distance")).alias("at"), (F.col("role") == "assistant").alias("loss"), escape(F.col("role")).alias("role"), escape(F.col("text")).alias("text"))
-    talks = steps.join(best, ["tree", "leaf"]).join(said, ["tree", "message"]).groupBy("tree", "leaf", "rank", "score").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    whole = F.array_join(F.transform("turns", lambda t: F.concat(F.lit("<s>"), t["role"], F.lit("[INST]"), t["text"], F.lit("</s>"))), "")
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-
-    def add(acc: Column, t: Column) -> Column:
-        start = acc["at"] + 9 + F.length(t["role"])
-        span = F.array(F.struct(start.alias("start"), F.length(t["text"]).alias("length")))
-        return F.struct((start + F.length(t["text"]) + 4).alias("at"), F.when(t["loss"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
-    return talks.select("tree", "leaf", "rank", "score", whole.alias("formatted"), F.aggregate("turns", zero, add)["spans"].alias("loss_spans"))
+    said = messages.select("tree", "message", escape(text_of("role")).alias("said_role"), escape(text_of("text")).alias("said_text"), (text_of("role") == "assistant").alias("loss"))
+    # Where each turn ends in the output: the marks <s>[INST]</s> around role and text are 13 characters.
+    order = Window.partitionBy("tree", "leaf").orderBy(F.col("distance").desc())
+    end = F.sum(F.length("said_role") + F.length("said_text") + 13).over(order)
+    written = F.concat(F.lit("<s>"), F.col("said_role"), F.lit("[INST]"), F.col("said_text"), F.lit("</s>"))
+    turn = F.struct((-F.col("distance")).alias("at"), written.alias("written"), "loss", (F.col("end") - 4 - F.length("said_text")).cast("int").alias("start"), F.length("said_text").alias("length"))
+    talks = steps.join(best, ["tree", "leaf"]).join(said, ["tree", "message"]).withColumn("end", end).groupBy("tree", "leaf", "rank", "score").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    spans = F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length")))
+    return talks.select("tree", "leaf", "rank", "score", F.array_join(F.transform("turns", lambda t: t["written"]), "").alias("formatted"), spans.alias("loss_spans"))
 
 
 def chains(rows: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Candidates are found in each text, their values leave the scan as SHA-256 digests, and digests are counted by distinct
-owners and repositories over the whole corpus. A value that many owners have is a widely copied example; one that a single
-owner has and that looks random is owner-specific and live-looking. Both verdicts are added as spans of their own kinds.
+owners and distinct repositories over the whole corpus. A value that stands in many repositories of several owners is a
+widely copied example; one of a single owner, in few repositories, that looks random is owner-specific and live-looking. Both
+verdicts are added as spans of their own kinds.
 
 Defined results: null text counts as empty and has no spans; a null owner or repository is one of its own; repeated rows
 are each scanned and count once as owners; null doc_id passes through; an empty table gives an empty result; further columns
@@ -18,11 +19,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import let, staged, text_of
+from .common import staged, text_of
 
 #: Kinds in the order of the contract, then those the method adds.
 KINDS = ("assign", "access", "hex", "live", "example")
@@ -69,10 +70,11 @@ def scan(docs: DataFrame, owner: str, repository: Column) -> DataFrame:
     return rows.select("doc_id", "owner", "repository", F.when(text.rlike(MAY_HAVE), text).otherwise("").alias("text")).withColumn("may", text != "").mapInArrow(run, schema)
 
 
-def secrets(docs: DataFrame, owner: str = "source", repository: Column | None = None, widely: int = 5) -> DataFrame:
-    """doc_id and spans (start, end, kind, value, owners, repositories), base and added ones, in order.
+def secrets(docs: DataFrame, owner: str = "source", repository: Column | None = None, widely: int = 5, several: int = 2) -> DataFrame:
+    """doc_id and spans (start, end, kind, value, owners, repositories, from, to), base and added ones, in order; from and to bound the value.
 
-    A value that widely many owners or more have is an example; one of a single owner that looks random is live.
+    A value in widely many repositories or more, of several owners or more, is an example. One of a single owner in fewer
+    repositories that looks random is live; of other values nothing is said.
     """
     repository = F.concat_ws("/", F.col("source").cast("string"), F.col("lang").cast("string")) if repository is None else repository
     rows = staged(scan(docs, owner, repository).withColumn("uid", F.monotonically_increasing_id()), "secret-scan")
@@ -80,8 +82,9 @@ def secrets(docs: DataFrame, owner: str = "source", repository: Column | None =
     owned = each.select("value", "owner", "repository").distinct()
     owners = owned.select("value", "owner").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("owners"))
     counts = owned.select("value", "repository").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("repositories")).join(owners, "value")
-    verdict = F.when(F.col("owners") >= widely, F.lit("example")).when((F.col("owners") == 1) & F.col("random"), F.lit("live"))
-    of = lambda start, end, kind: F.struct(F.col(start).alias("start"), F.col(end).alias("end"), kind.alias("kind"), "value", "owners", "repositories")
+    wide = F.col("repositories") >= widely
+    verdict = F.when(wide & (F.col("owners") >= several), F.lit("example")).when(~wide & (F.col("owners") == 1) & F.col("random"), F.lit("live"))
+    of = lambda start, end, kind: F.struct(F.col(start).alias("start"), F.col(end).alias("end"), kind.alias("kind"), "value", "owners", "repositories", "from", "to")
     judged = each.join(counts, "value").select("uid", of("start", "end", F.col("kind")).alias("base"), F.when(verdict.isNotNull(), of("from", "to", verdict)).alias("added"))
     rank = lambda s: F.array_position(F.array(*map(F.lit, KINDS)), s["kind"])
     ordered = lambda a: F.transform(F.array_sort(F.transform(a, lambda s: F.struct(s["start"].alias("at"), rank(s).alias("rank"), s["end"].alias("end"), s.alias("s")))), lambda x: x["s"])
@@ -103,27 +106,27 @@ def digests(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[REDACTED]", **settings) -> DataFrame:
     """docs with the values of all secrets but widely copied examples replaced; n_chars follows the text where there is one.
 
-    Texts without candidates pass by; only the others are joined with their spans.
+    Only the values go: what names them stays. Overlapping values are one mark. Texts without candidates pass by; the others
+    are written once with a number of their own, so columns may have any names and doc_id may be null or repeated.
     """
-    text = text_of("text")
-    prints = [F.xxhash64("doc_id", "text").alias("print1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("print2")]
-    may = text.rlike(MAY_HAVE)
-    suspects = docs.where(may)
-    key = F.struct(F.col("doc_id"), *prints)
-    found = secrets(suspects.withColumn("doc_id", key), **settings)
-    value = F.filter("spans", lambda s: s["kind"] != "live")
-    # Base spans are replaced whole from where the value can begin: assign spans keep their name, the others are values.
-    keep = F.filter(value, lambda s: (s["kind"] != "example") & ~F.exists(value, lambda e: (e["kind"] == "example") & (e["value"] == s["value"])))
-    cut = found.select("doc_id.print1", "doc_id.print2", F.transform(keep, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("cut")).where("size(cut) > 0").groupBy("print1", "print2").agg(F.first("cut").alias("cut"))
-    # From left to right: what stands between the spans, then the mark; overlapping spans are one.
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    piece = lambda acc, s: F.struct(
-        F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out"),
-        F.greatest(acc["at"], s["end"]).alias("at"),
-    )
-    clean = let(F.aggregate("cut", zero, piece), lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    done = suspects.withColumns({"print1": prints[0], "print2": prints[1]}).join(cut, ["print1", "print2"], "left")
-    done = done.withColumn("text", F.when(F.col("cut").isNotNull(), clean).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("cut").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return docs.where(~may).unionByName(done.select(*docs.columns))
+    may = text_of("text").rlike(MAY_HAVE)
+    suspects = staged(docs.where(may).select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("uid")), "suspects")
+    row = lambda c: F.col("row")[c]
+    given = suspects.select(F.col("uid").alias("doc_id"), *[row(c).alias(c) for c in docs.columns if c != "doc_id"])
+    base = F.filter("spans", lambda s: s["kind"].isin(*KINDS[:3]))
+    examples = F.transform(F.filter("spans", lambda s: s["kind"] == "example"), lambda s: s["value"])
+    gone = F.filter(base, lambda s: ~F.array_contains(examples, s["value"]))
+    values = secrets(given, **settings).select(F.col("doc_id").alias("uid"), F.explode(gone).alias("s")).select("uid", "s.from", "s.to")
+    # Overlapping values become one: a value starts anew where none before it reaches.
+    order = Window.partitionBy("uid").orderBy("from", "to")
+    reach = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    islands = values.withColumn("new", (reach.isNull() | (F.col("from") >= reach)).cast("int")).withColumn("island", F.sum("new").over(order))
+    cuts = islands.groupBy("uid", "island").agg(F.min("from").alias("from"), F.max("to").alias("to")).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("from", "to"))).alias("cut"))
+    text = row("text")
+    before = lambda i: F.coalesce(F.get("cut", i - 1)["to"], F.lit(0))
+    parts = F.transform("cut", lambda s, i: F.concat(F.substring(text, before(i) + 1, s["from"] - before(i)), F.lit(mark)))
+    clean = F.concat(F.array_join(parts, ""), F.substring(text, before(F.size("cut")) + 1, F.length(text)))
+    new = {"text": clean, "n_chars": F.length(clean)}
+    column = lambda c: F.when(F.col("cut").isNotNull(), new[c].cast(docs.schema[c].dataType)).otherwise(row(c)) if c in new else row(c)
+    done = suspects.join(cuts, "uid", "left").select(*[column(c).alias(c) for c in docs.columns])
+    return docs.where(~may).union(done)

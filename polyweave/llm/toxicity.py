@@ -1,7 +1,7 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick after folding.
 
 Folding maps homoglyphs, compatibility forms, digits and signs that stand for letters to plain small letters; what is no
-letter separates words. The lexicon (whole words and beginnings of words) and its weights are learned from a bounded sample
+letter separates words. Texts are composed first (NFC), so a letter and its accent score alike in either form. The lexicon (whole words and beginnings of words) and its weights are learned from a bounded sample
 of labelled rows, as is the logistic curve over three features: the matched weight, the same by length, and the largest.
 In a word only its heaviest entry counts; hits inside an exception phrase don't.
 
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_of
+from .common import staged, text_of
 
 #: Labelled rows to learn from, those of the smallest hashes; entries of the lexicon; fewest toxic documents for an entry.
 SAMPLE, MOST_ENTRIES, LEAST_SUPPORT = 12_000, 3_000, 6
@@ -36,14 +36,17 @@ HOMOGLYPHS = {
 }
 SUBSTITUTIONS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 #: Phrases whose words are not meant as insults (fixed values).
-EXCEPTIONS = ("trash can", "trash bin", "recycle bin", "clown fish", "class clown", "pond scum", "sore loser board")
+EXCEPTIONS = (
+    "trash can", "trash bag", "trash bin", "trash day", "clown fish", "class clown", "pond scum", "garbage collector", "garbage truck", "garbage collection", "killer whale", "kill switch",
+    "dumb waiter", "pig iron", "rat race", "idiot proof", "sucker punch", "worm gear",
+)
 
 
 @functools.cache
 def fold_table() -> np.ndarray:
     """Code point to folded code point; what is no letter becomes a space, a combining mark nothing (0)."""
     out = np.full(0x110000, 0x20, dtype=np.uint32)
-    for c in map(chr, [*range(0xD800), *range(0xE000, 0x20000)]):
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x33480), *range(0xE0000, 0xE0200)]):  # all planes with letters or marks
         kind = unicodedata.category(c)
         if kind[0] == "M" or kind == "Cf":
             out[ord(c)] = 0
@@ -57,6 +60,8 @@ def fold_table() -> np.ndarray:
 
 def fold(text: str) -> str:
     """The folded words, each with one or more spaces around it."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text)
     points = fold_table()[np.frombuffer(f" {text} ".encode("utf-32-le", "replace"), dtype=np.uint32)]
     return points[points > 0].tobytes().decode("utf-32-le")
 
@@ -151,11 +156,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(keys), *[pa.array([docs_seen[t], *[found[t][k] for k in keys[1:]]], pa.int64()) for t in (1, 0)]], names=["entry", "toxic", "clean"])
 
     counts = labelled.mapInArrow(count, "entry string, toxic bigint, clean bigint").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    toxic, clean = (sum(1 for r in sample if r.toxic == t) for t in (1, 0))
+    # The entry "" holds the rows seen of either label: repeated documents count in it as often as in the entries.
+    counts = staged(counts.where((F.col("entry") == "") | (F.col("toxic") >= LEAST_SUPPORT)), "toxic-entries")
+    seen = counts.where("entry = ''").first()
+    if seen is None or not seen.toxic or not seen.clean:
+        return Model(Lexicon({}), None)
     log_odds = lambda c, n: F.log((F.col(c) + 0.5) / (n - F.col(c) + 0.5))
-    weight = log_odds("toxic", toxic + 1.0) - log_odds("clean", clean + 1.0)
+    weight = log_odds("toxic", seen.toxic + 1.0) - log_odds("clean", seen.clean + 1.0)
     z = weight / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    best = counts.where((F.col("entry") != "") & (F.col("toxic") >= LEAST_SUPPORT)).select("entry", weight.alias("weight"), z.alias("z")).where("z > 3 and weight > 2")
+    best = counts.where("entry <> ''").select("entry", weight.alias("weight"), z.alias("z")).where("z > 3 and weight > 2")
     lexicon = Lexicon({r.entry: r.weight for r in best.orderBy(F.col("z").desc(), "entry").limit(MOST_ENTRIES).collect()})
     shared = spark.sparkContext.broadcast(lexicon)
 
