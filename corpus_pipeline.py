@@ -2,6 +2,10 @@
 
 Each stage is a function (spark, docs, sf_dir) that keeps the columns of docs (but for the last, which returns pieces), is
 written as Parquet and read again as the next one's docs.
+
+Defined results, for all stages: a null text counts as empty; null and repeated doc_ids are told apart by what else the row
+holds; wholly equal rows are judged alike, and from exact dedup on one of them stays; further columns of any name pass through
+and are ignored; an empty table gives an empty result with the same columns.
 """
 
 from __future__ import annotations
@@ -14,19 +18,22 @@ from polyweave.llm.common import staged
 from polyweave.llm.queries import TOKENIZER_FILE
 
 
+def _prints(docs: DataFrame) -> list:
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
+    return [F.xxhash64(F.lit(k), "doc_id", F.col("doc_id").isNull(), *others).alias(f"print{k}") for k in (1, 2)]
+
+
 def _marked(docs: DataFrame) -> DataFrame:
-    """docs whose doc_id is a key of the row: null or repeated doc_ids are told apart by what else the row holds."""
-    others = [c for c in docs.columns if c != "doc_id"]
-    prints = [F.xxhash64(F.lit(k), "doc_id", F.col("doc_id").isNull(), *others).alias(f"print{k}") for k in (1, 2)]
-    return docs.withColumn("doc_id", F.struct("doc_id", *prints))
+    """docs whose doc_id is a key of the row: the old one, null after all others, and two hashes of all that the row holds."""
+    return docs.withColumn("doc_id", F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", *_prints(docs)))
 
 
 def _kept(docs: DataFrame, verdicts: DataFrame, single: bool) -> DataFrame:
     """The rows of docs whose keys the verdicts keep. single: of wholly equal rows one stays."""
     keys = verdicts.where("kept").select("doc_id.print1", "doc_id.print2").distinct()
-    marked = _marked(docs).select("doc_id.*", *[c for c in docs.columns if c != "doc_id"])
-    rows = marked.join(keys, ["print1", "print2"], "left_semi")
-    return (rows.dropDuplicates(["print1", "print2"]) if single else rows).select(*docs.columns)
+    # The row is one column meanwhile, so that its columns may have any names.
+    rows = docs.select(F.struct("*").alias("row"), *_prints(docs)).join(keys, ["print1", "print2"], "left_semi")
+    return (rows.dropDuplicates(["print1", "print2"]) if single else rows).select("row.*")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
