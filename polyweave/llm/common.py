@@ -17,15 +17,23 @@ _folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder of this application under spark.checkpoint.dir; a temporary one only where that is unset."""
+    """A folder of this application under spark.checkpoint.dir, which all executors have to reach. RuntimeError where it is unset, but for a local master."""
     app = spark.sparkContext.applicationId
     if app not in _folders:
-        root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="polyweave-")
-        _folders[app] = f"{root.rstrip('/')}/polyweave-{app}"
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if root is None and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: tables between stages need a folder that all executors share")
+        _folders[app] = f"{(root or tempfile.mkdtemp(prefix='polyweave-')).rstrip('/')}/polyweave-{app}"
         atexit.register(_remove, spark, _folders[app])
     return _folders[app]
 
 
+def dropped(df: DataFrame) -> None:
+    """Deletes the files of a staged table that nothing reads any more."""
+    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        _remove(df.sparkSession, file)
+
+
 def _remove(spark: SparkSession, folder: str) -> None:
     try:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -34,10 +42,10 @@ def _remove(spark: SparkSession, folder: str) -> None:
         pass
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """df written as Parquet to the shared folder and read again: lineage ends there and a lost executor takes nothing along."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

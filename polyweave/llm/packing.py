@@ -1,10 +1,12 @@
 """Cost-balanced packing of documents into sequences of a fixed number of tokens.
 
 Every task packs the documents it reads, block by block, so no shuffle is needed and a lost executor repeats its own blocks
-only. In a block, documents are cut into full sequences and a rest. The rests' tokens decide how many sequences there are:
-as many full ones as they fill, and sequences of powers of two for what is left, so nothing is padded. The rests, in
-descending order, go to the sequence of lowest estimated cost (linear plus quadratic attention cost of each piece) that
-has room; a rest that fits nowhere whole is cut.
+only. In a block, documents longer than a sequence, which have to be cut anyway, are cut into full sequences and a rest, and
+some of those sequences are left in their rests (SPARE of the shorter documents' tokens). The tokens of the shorter documents
+and the rests decide how many further sequences there are: as many full ones as they fill, and sequences of powers of two for
+what is left, so nothing is padded. The shorter documents, in descending order, go to the sequence of lowest estimated cost
+(linear plus quadratic attention cost of each piece) that has room. The rests, in descending order, follow and fill the gaps;
+they are cut where they fit nowhere whole, and a shorter document only where no gap is left that holds it.
 
 Defined results: null text counts as empty and has one token, the closing id; null doc_id and repeated rows are packed like
 others; an empty table gives an empty result; further columns are ignored.
@@ -27,6 +29,8 @@ from .common import text_of
 
 #: Estimated cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
+#: Tokens of long documents held back to fill gaps, for each token of shorter ones.
+SPARE = 0.25
 CLOSING = struct.pack("<I", 0)
 
 
@@ -38,14 +42,20 @@ def capacities(tokens: int, size: int) -> list[int]:
 def plan(lengths: list[int], size: int) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) for each piece; sequences are numbered from 0."""
     sequence, rests = 0, []
+    spare = SPARE * sum(n for n in lengths if n <= size)
     for d, n in enumerate(lengths):
-        full = n // size * size
+        full = n // size * size if n > size else 0
+        while full and n - full < spare:
+            spare -= size
+            full -= size
         for start in range(0, full, size):
             yield d, start, size, sequence, 0
             sequence += 1
         if n > full:
-            rests.append((n - full, d, full))
-    rests.sort(key=lambda x: (-x[0], x[1]))
+            spare -= n - full if n > size else 0
+            rests.append((n > size, n - full, d, full))
+    rests.sort(key=lambda x: (x[0], -x[1], x[2]))
+    rests = [x[1:] for x in rests]
     room = np.array(capacities(sum(n for n, _, _ in rests), size), dtype=np.int64)
     whole, cost = room.copy(), np.zeros(len(room))
     for n, d, start in rests:

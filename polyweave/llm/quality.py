@@ -1,7 +1,8 @@
 """Host-level quality rules, with DataFrame functions only.
 
-Each document is measured once, the measures are staged, failures are added up by host, the failure rates are shrunk with
-a beta prior fitted to all hosts by the method of moments, and the hosts' verdicts are joined back to the documents.
+Each document is measured once, the measures are staged, each rule's failures are added up by host, the failure rates are
+shrunk with a beta prior for each rule, fitted to all hosts by the method of moments, and the hosts' verdicts are joined back
+to the documents: a host fails when the shrunk rate of any rule, or of failures by any rule, is over that rule's limit.
 
 Defined results: null text has no words and fails; a null host is a host of its own; an empty table gives an empty
 result; repeated rows are each judged; further columns are ignored. Three-word windows are compared by 64-bit hashes
@@ -10,6 +11,8 @@ within one document only. A document with many repeated windows takes the sortin
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,13 +71,17 @@ def measures(docs: DataFrame, host: str = "source") -> DataFrame:
     )
 
 
-def host_rules(docs: DataFrame, host: str = "source", most_failed: float = 0.5) -> DataFrame:
+#: The highest shrunk rates that a host may have: of documents that are too short, too repetitive, and either.
+MOST = {"too_short": 0.5, "too_repetitive": 0.4, "base_failed": 0.5}
+
+
+def host_rules(docs: DataFrame, host: str = "source", most: dict[str, float] = MOST) -> DataFrame:
     """One row per row of docs(doc_id, text, host): measures, base_failed, the host's shrunk rates, and kept.
 
-    kept is false where the document itself fails or its host's shrunk failure rate is over most_failed.
+    kept is false where the document itself fails or its host does.
     """
     rows = staged(measures(docs, host), "quality-measures")
-    kinds = ("too_short", "too_repetitive", "base_failed")
+    kinds = tuple(most)
     hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(k).alias(k) for k in kinds])
     # One row of totals, whatever the number of hosts.
     prior = hosts.agg(*[x for k in kinds for x in (F.avg(F.col(k) / F.col("n")).alias(f"{k}_m"), F.var_samp(F.col(k) / F.col("n")).alias(f"{k}_v"))]).first()
@@ -87,7 +94,7 @@ def host_rules(docs: DataFrame, host: str = "source", most_failed: float = 0.5)
     verdicts = hosts.select(F.col("host").alias("of_host"), F.col("n").alias("host_docs"), *[shrunk(k).alias(f"host_{k}_rate") for k in kinds])
     return (
         rows.join(verdicts, F.col("host").eqNullSafe(F.col("of_host")), "left")
-        .withColumn("host_failed", F.coalesce(F.col("host_base_failed_rate") > most_failed, F.lit(False)))
+        .withColumn("host_failed", functools.reduce(lambda a, b: a | b, [F.coalesce(F.col(f"host_{k}_rate") > limit, F.lit(False)) for k, limit in most.items()]))
         .withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed"))
         .drop("of_host", "host", "too_short", "too_repetitive")
     )
@@ -114,15 +121,19 @@ with d as (
     coalesce(r.n_repeat_words, 0)::bigint as n_repeat_words
   from d left join r on d.doc_id = r.doc_id
 ), b as (
-  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m
+  select *, n_words < 50 as short, 100 * n_repeat_words > 50 * n_words as repetitive, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m
 ), h as (
-  select source, count(*) as n, count(*) filter (base_failed) as k from b group by source
-), p as (select avg(k / n) as m, var_samp(k / n) as v from h
+  select source, count(*) as n, count(*) filter (short) as ks, count(*) filter (repetitive) as kr, count(*) filter (base_failed) as kb from b group by source
+), x as (
+  select source, 'short' as rule, 0.5 as most, n, ks as k from h union all select source, 'repetitive', 0.4, n, kr from h union all select source, 'both', 0.5, n, kb from h
+), p as (select rule, avg(k / n) as m, var_samp(k / n) as v from x group by rule
 ), q as (
-  select case when m is null or v is null or v = 0 or v >= m * (1 - m) then 1.0 else m * (m * (1 - m) / v - 1) end as a,
+  select rule, case when m is null or v is null or v = 0 or v >= m * (1 - m) then 1.0 else m * (m * (1 - m) / v - 1) end as a,
     case when m is null or v is null or v = 0 or v >= m * (1 - m) then 1.0 else (1 - m) * (m * (1 - m) / v - 1) end as b from p
+), verdicts as (
+  select source, bool_or((x.k + q.a) / (x.n + q.a + q.b) > x.most) as host_failed from x join q using (rule) group by source
 )
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
-  n_dup_lines::bigint as n_dup_lines, n_repeat_words, base_failed, not base_failed and (h.k + q.a) / (h.n + q.a + q.b) <= 0.5 as kept
-from b join h on b.source is not distinct from h.source cross join q
+  n_dup_lines::bigint as n_dup_lines, n_repeat_words, base_failed, not base_failed and not host_failed as kept
+from b join verdicts on b.source is not distinct from verdicts.source
 """

@@ -13,7 +13,7 @@ RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scripted_edits(docs: DataFrame) -> DataFrame:
     """Each document gets a fixed script of edits: a word put in, a stretch cut out, one replaced, and a line appended."""
     place = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.length(text_of("text")) + 1).cast("int")
     edit = lambda start, length, put: F.struct(start.alias("start"), F.lit(length).alias("length"), put.alias("put"))
@@ -21,7 +21,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         edit(place(1), 0, F.concat(F.lit(" edit"), F.col("doc_id").cast("string"))), edit(place(2), 40, F.lit("")),
         edit(place(3), 12, F.lit("it's replaced")), edit(F.length(text_of("text")), 0, F.lit("\nAppended line.")),
     )
-    return token_counts.edited_counts(table(spark, sf_dir, "documents").withColumn("edits", edits), RANK_FILE)
+    return docs.withColumn("edits", edits)
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.edited_counts(scripted_edits(table(spark, sf_dir, "documents")), RANK_FILE)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
