@@ -28,10 +28,10 @@ def shared_folder(spark: SparkSession) -> str:
     return _folders[app]
 
 
-def dropped(df: DataFrame) -> None:
-    """Deletes the files of a staged table that nothing reads any more."""
-    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        _remove(df.sparkSession, file)
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the files of staged tables that nothing reads any more."""
+    for df in tables:
+        _remove(df.sparkSession, df._staged_path)
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
@@ -46,7 +46,9 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """df written as Parquet to the shared folder and read again: lineage ends there and a lost executor takes nothing along."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
 
 
 def let(value: Column, body) -> Column:

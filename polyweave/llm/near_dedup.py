@@ -1,7 +1,8 @@
 """Near-dedup: improved consistent weighted sampling over TF-IDF shingles, banded, verified by weighted Jaccard.
 
 1. Two passes over the texts: one adds every document's shingles (five words) to a count-mean-min sketch of document
-   frequencies, whose size is fixed whatever the corpus; the other takes each document's consistent weighted samples,
+   frequencies, whose size is fixed whatever the corpus (a shingle that does not stand out from its cells' noise counts as
+   rare, so the idf keeps telling common shingles from the others as the corpus grows); the other takes each document's consistent weighted samples,
    with weights (1 + ln tf) * (1 + strength * normalised idf) on a fixed grid, and hashes them by bands.
 2. Texts with the same words are one class from the start; only one of them goes on.
 3. In a bucket of a band, all are compared with one leader, not with each other: exact weighted Jaccard on the texts.
@@ -9,9 +10,11 @@
    as far as no leader has joined them yet.
 4. Large buckets whose members are in more than one class by then are settled exactly: buckets that share texts are one
    group, and all texts outside a group's largest class are compared with all of the group, block by block, as products of
-   matrices. A block gives no more links than it has texts. So every pair that shares a bucket is compared or in one class,
-   and no bucket emits its square; the work grows with the texts outside the largest class times the group.
-   Classes are the connected components of all pairs at the threshold or above.
+   matrices. A block gives no more links than it has texts. A group of more than Settings.split texts is split first, by
+   prefixes: of each text the rarest shingles that a partner at the threshold has to share one of, and texts are compared
+   only within the groups of such a shingle. So every pair that shares a bucket is compared, in one class, or known to be
+   under the threshold, and no bucket emits its square. Classes are the connected components of all pairs at the threshold
+   or above.
 
 The strength of the idf is moderate on purpose: in a group of copies that holds a third of all rows, full idf would weigh the
 few edited shingles many times the common ones, and pairs at 0.8 or more of plain overlap would be missed.
@@ -35,13 +38,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import in_runs
-from .common import SPACE_CHARS, staged, text_of
+from .common import SPACE_CHARS, dropped, staged, text_of
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64
 #: Sketch of document frequencies: rows times cells of 64-bit counts, 4 MB.
 SKETCH_ROWS, SKETCH_CELLS = 2, 1 << 18
-SKETCH_PART = 1 << 14
+SKETCH_PART, SKETCH_SLOTS = 1 << 14, 64
+#: A cell's count stands out from so many robust deviations of its row's cells on.
+STANDS_OUT = 3.0
 #: The grid of weights: idf steps times classes of tf (1, 2, 3-4, 5-8, 9 or more), and their weights at strength 1.
 IDF_STEPS = 4
 TF_BOUNDS = np.array([2, 3, 5, 9])
@@ -55,9 +60,12 @@ class Settings:
     bands: int = 16
     rows: int = 4
     strength: float = 0.25
-    #: Buckets of up to so many texts are compared whole; larger ones in blocks of about so many texts a side.
+    #: Buckets of up to so many texts are compared whole; larger ones in blocks of about so many texts and bytes a side.
     whole_bucket: int = 8
-    block: int = 1024
+    block: int = 256
+    block_bytes: int = 8 << 20
+    #: Groups of more texts are split by prefixes before blocks are made.
+    split: int = 4096
     #: Variates are drawn for so many classes of shingles; a sample still names the very shingle.
     variate_classes: int = 4096
 
@@ -147,8 +155,10 @@ def frequency_sketch(docs: DataFrame, settings: Settings) -> tuple[np.ndarray, i
                 total[part] = total[part] + own if part in total else own.copy()
         yield _parts(list(total), list(total.values()))
 
+    # Sketches are added up in two steps: first in SLOTS slots for each part, so that no task reads those of all tasks.
     schema = "part int, counts array<bigint>"
-    rows = docs.select(text_of("text").alias("text")).mapInArrow(run, schema).repartition(8, "part").mapInArrow(add, schema).collect()
+    own = docs.select(text_of("text").alias("text")).mapInArrow(run, schema).withColumn("slot", F.spark_partition_id() % SKETCH_SLOTS)
+    rows = own.repartition("part", "slot").drop("slot").mapInArrow(add, schema).repartition("part").mapInArrow(add, schema).collect()
     out, n = np.zeros((parts, SKETCH_PART), dtype=np.int64), 0
     for part, counts in rows:
         if part < 0:
@@ -170,20 +180,35 @@ class Weights:
     def __init__(self, sketch: np.ndarray, documents: int, settings: Settings):
         self.settings = settings
         noise = (sketch.sum(axis=1, keepdims=True) - sketch) / (SKETCH_CELLS - 1)
-        self.clean = np.maximum(sketch - noise, 1.0)
+        middle = np.median(sketch, axis=1, keepdims=True)
+        deviation = 1.4826 * np.median(np.abs(sketch - middle), axis=1, keepdims=True)
+        self.clean = np.where(sketch - noise > STANDS_OUT * deviation, np.maximum(sketch - noise, 1.0), 1.0)
         self.documents = max(documents, 1)
         steps = 1 + settings.strength * np.arange(IDF_STEPS) / (IDF_STEPS - 1)
         self.grid = (steps[:, None] * TF_WEIGHTS[None, :]).ravel()
 
+    def frequencies(self, h: np.ndarray) -> np.ndarray:
+        return np.minimum.reduce([self.clean[r][_cells(h, r)] for r in range(SKETCH_ROWS)]) if len(h) else np.zeros(0)
+
     def of(self, h: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        df = np.minimum.reduce([self.clean[r][_cells(h, r)] for r in range(SKETCH_ROWS)]) if len(h) else np.zeros(0)
-        idf = np.log((1 + self.documents) / (1 + np.minimum(df, self.documents))) / np.log(1 + self.documents)
+        idf = np.log((1 + self.documents) / (1 + np.minimum(self.frequencies(h), self.documents))) / np.log(1 + self.documents)
         return np.rint(idf * (IDF_STEPS - 1)).astype(np.intp) * len(TF_WEIGHTS) + np.searchsorted(TF_BOUNDS, tf, side="right")
 
     def vector(self, text: str | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         h, tf = shingles(word_hashes(text), self.settings.words)
         return h, self.grid[self.of(h, tf)]
 
+    def prefix(self, text: str | np.ndarray) -> np.ndarray:
+        """The rarest shingles, up to where the others weigh less than the threshold's share of all.
+
+        Two texts at the threshold have that share of either one's weight in common, so the first shingle that both have, in
+        this order of all shingles, is in both prefixes.
+        """
+        h, w = self.vector(text)
+        order = np.lexsort((h, self.frequencies(h)))
+        behind = w.sum() - np.cumsum(w[order])
+        return h[order[: 1 + int((behind >= (self.settings.threshold - 1e-6) * w.sum()).sum())]]
+
     @functools.cached_property
     def variates(self) -> np.ndarray:
         """The samples' keys ln a of improved consistent weighted sampling, as sortable integers in the upper 32 bits: [grid number, class, sample]."""
@@ -276,16 +301,41 @@ def _joining(left, right, common: np.ndarray, threshold: float) -> Iterator[tupl
             yield lu[i], ru[j], s
 
 
+def split_groups(members: DataFrame, texts: DataFrame, weights, settings: Settings) -> DataFrame:
+    """members(group, uid, class) of large groups, each text in the group of every shingle of its prefix that several classes have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = weights.value
+        for batch in batches:
+            found = [own.prefix(t).view(np.int64) for t in raw_texts(batch.column("text"))]
+            at = np.repeat(np.arange(len(found)), list(map(len, found)))
+            columns = [batch.column(c).take(pa.array(at, pa.int64())) for c in ("group", "uid", "class")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))], names=["group", "uid", "class", "shingle"])
+
+    given = members.join(texts, "uid").select("group", "uid", "class", "text")
+    spread = staged(given.mapInArrow(run, "group bigint, uid bigint, class bigint, shingle bigint").withColumn("group", F.xxhash64("group", "shingle")).drop("shingle"), "prefixes")
+    mixed = spread.groupBy("group").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("group")
+    return spread.join(staged(mixed, "mixed-prefixes"), "group")
+
+
 def block_links(members: DataFrame, texts: DataFrame, weights, settings: Settings) -> DataFrame:
-    """Links (a, b, similarity) between classes in groups: members(group, uid, class), a text in one group at most.
+    """Links (a, b, similarity) between classes in groups: members(group, uid, class).
 
     Each text outside its group's largest class meets every text of the group in one block; blocks are hashed slots of about
-    settings.block texts a side, each a row group of its own, so a hot group is spread over tasks.
+    settings.block texts and at most about settings.block_bytes a side, each a row group of its own, so a hot group is spread
+    over tasks.
     """
-    by_class = members.groupBy("group", "class").agg(F.count(F.lit(1)).alias("k"))
-    sums = by_class.groupBy("group").agg(F.sum("k").alias("n"), F.max(F.struct("k", "class")).alias("most"))
-    slots = lambda c: F.ceil(c / settings.block).cast("int")
-    sized = members.join(sums.select("group", F.col("most.class").alias("main"), slots(F.col("n")).alias("columns"), slots(F.col("n") - F.col("most.k")).alias("rows")).where("rows > 0"), "group")
+    counts = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+    large = staged(counts.where(F.col("n") > settings.split).select("group"), "large-groups")
+    if not large.isEmpty():
+        members = members.join(large, "group", "left_anti").unionByName(split_groups(members.join(large, "group", "left_semi"), texts, weights, settings))
+    members = staged(members.join(texts.select("uid", F.octet_length("text").alias("bytes")), "uid"), "block-members")
+    by_class = members.groupBy("group", "class").agg(F.count(F.lit(1)).alias("k"), F.sum("bytes").alias("bytes"))
+    sums = by_class.groupBy("group").agg(F.sum("k").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("k", "class", "bytes")).alias("most"))
+    slots = lambda n, size: F.greatest(F.ceil(n / settings.block), F.ceil(size / settings.block_bytes)).cast("int")
+    columns, rows = slots(F.col("n"), F.col("bytes")), slots(F.col("n") - F.col("most.k"), F.col("bytes") - F.col("most.bytes"))
+    sizes = staged(sums.where("n > most.k").select("group", F.col("most.class").alias("main"), columns.alias("columns"), rows.alias("rows")), "block-sizes")
+    sized = members.drop("bytes").join(sizes, "group")
     sized = sized.join(texts, "uid").select("group", "uid", "class", "text", (F.col("class") != F.col("main")).alias("outside"), "rows", "columns")
     slot = lambda n, k: F.pmod(F.xxhash64("uid", F.lit(k)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -372,12 +422,14 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # large star: larger neighbours go to the smallest of the neighbourhood
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "large-least")
-        large = staged(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
+        nearest = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "large-least")
+        large = staged(both.join(nearest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
         # small star: smaller neighbours, and the node itself, go to the smallest of them
         least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "small-least")
-        links = staged(large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "small-star")
-        after = state(links)
+        fresh = staged(large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "small-star")
+        after = state(fresh)
+        dropped(links, nearest, large, least)
+        links = fresh
         if after == before:
             return links.select(F.col("u").alias("uid"), F.col("v").alias("class"))
         before = after

@@ -142,8 +142,8 @@ def test_near_duplicates_are_the_exact_classes(spark):
     assert all(r.class_size == sizes[r.class_id] and r.kept == (r.class_id == i) for i, r in got.items())
 
 
-@pytest.mark.parametrize("block", [1024, 7])
-def test_near_duplicates_lose_no_link_in_a_group_of_many_classes(spark, block):
+@pytest.mark.parametrize("block, split", [(256, 4096), (7, 4096), (7, 0)])
+def test_near_duplicates_lose_no_link_in_a_group_of_many_classes(spark, block, split):
     """A hot group whose texts share buckets but are rarely at the threshold: chains of links that no leader is part of."""
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
@@ -158,13 +158,64 @@ def test_near_duplicates_lose_no_link_in_a_group_of_many_classes(spark, block):
                 own[rng.randrange(300)] = word()
             rows.append((len(rows), " ".join(own)))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    settings = near_dedup.Settings(block=block)
+    settings = near_dedup.Settings(block=block, block_bytes=20_000, split=split)
     weights = near_dedup.Weights(*near_dedup.frequency_sketch(docs, settings), settings)
     truth = brute_classes(rows, weights, settings.threshold)
     assert len(set(truth.values())) > 20
     assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs, settings).collect()} == truth
 
 
+def test_prefixes_of_texts_at_the_threshold_meet():
+    rng = random.Random(13)
+    settings = near_dedup.Settings()
+    sketch = np.random.default_rng(1).integers(0, 50, (near_dedup.SKETCH_ROWS, near_dedup.SKETCH_CELLS))
+    weights = near_dedup.Weights(sketch, 1000, settings)
+    for _ in range(200):
+        base = [str(rng.randrange(40)) for _ in range(rng.randrange(1, 80))]
+        other = [w if rng.random() > 0.03 else "x" for w in base]
+        a, b = " ".join(base), " ".join(other)
+        if near_dedup.weighted_jaccard(weights.vector(a), weights.vector(b)) >= settings.threshold:
+            assert set(weights.prefix(a).tolist()) & set(weights.prefix(b).tolist())
+    assert len(weights.prefix(" ".join(f"w{i}" for i in range(500)))) < 150 and len(weights.prefix("")) == 0
+
+
+def test_rare_shingles_stay_rare_under_noise():
+    rng = np.random.default_rng(4)
+    sketch = rng.poisson(300, (near_dedup.SKETCH_ROWS, near_dedup.SKETCH_CELLS))
+    common = rng.integers(0, 1 << 63, 50, dtype=np.uint64)
+    for r in range(near_dedup.SKETCH_ROWS):
+        np.add.at(sketch[r], near_dedup._cells(common, r), 50_000)
+    weights = near_dedup.Weights(sketch, 200_000, near_dedup.Settings())
+    assert (weights.frequencies(rng.integers(0, 1 << 63, 2000, dtype=np.uint64)) == 1).mean() > 0.99 and (weights.frequencies(common) > 40_000).all()
+
+
+def test_near_dedup_query_by_brute_force(spark):
+    """Recall over the documents: all pairs at the threshold, weighted, are in one class, and classes are their components."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    settings = near_dedup.Settings()
+    weights = near_dedup.Weights(*near_dedup.frequency_sketch(docs, settings), settings)
+    rows = texts(spark, sf)
+    ids, vectors = [i for i, _ in rows], [weights.vector(t) for _, t in rows]
+    common, totals = near_dedup.common_weights(vectors, vectors), np.array([w.sum() for _, w in vectors])
+    near = np.argwhere((common >= (settings.threshold - 1e-6) * (totals[:, None] + totals[None, :] - common)) & (np.array([len(h) > 0 for h, _ in vectors])[:, None]))
+    pairs = [(a, b) for a, b in near.tolist() if a < b and near_dedup.weighted_jaccard(vectors[a], vectors[b]) >= settings.threshold]
+    got = {r.doc_id: r.class_id for r in queries.op2_near_dedup(spark, sf).collect()}
+    assert len(pairs) > 50 and sum(got[ids[a]] == got[ids[b]] for a, b in pairs) == len(pairs)
+    head = {i: i for i in ids}
+
+    def root(x):
+        while head[x] != x:
+            x = head[x]
+        return x
+
+    for a, b in pairs:
+        x, y = root(ids[a]), root(ids[b])
+        head[max(x, y)] = min(x, y)
+    blank = [i for (i, _), (h, _) in zip(rows, vectors) if not len(h)]
+    assert {i: c for i, c in got.items() if i not in blank} == {i: root(i) for i in ids if i not in blank}
+
+
 def test_common_weights_are_sums_of_minima():
     rng = np.random.default_rng(3)
     text = lambda: (np.unique(rng.integers(0, 60, rng.integers(0, 40)).astype(np.uint64)), None)
