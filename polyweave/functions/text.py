@@ -99,6 +99,20 @@ def line_digest(x: Column) -> Column:
     return F.regexp_replace(x, rf"(?U){PY_SPACE}+", "")
 
 
+#: What the converter writes in place of a missing file (fixed value).
+MISSING_FILE = "Http Status Code: 404\n\nReason: File not found or unable to read file"
+
+
+def is_garbage(x: Column) -> Column:
+    """Nothing but brackets and white space, or the note of a missing file; null too."""
+    return F.coalesce(~x.rlike(r"[^\[\]\s]") | (py_strip(x) == MISSING_FILE), F.lit(True))
+
+
+def is_short_or_garbled(x: Column, mark: str = "\n----\n", least: float = 0.2) -> Column:
+    """Fewer than three pages, or fewer Latin letters than the least share."""
+    return (latin_share(x) < least) | (F.size(F.split(x, mark)) <= 2)
+
+
 #: Page furniture, in the order in which it goes (fixed values). EDGE holds near the top and bottom of a page only: file
 #: codes, page numbers, parts and volumes, articles. ANYWHERE: numbers between asterisks, printing marks.
 EDGE = (
@@ -108,6 +122,11 @@ EDGE = (
 ANYWHERE = (r"^\*[0-9]+\*$", r"^[0-9]+-[0-9]+ \(E\)$")
 
 
+def at_page_edge(line_id: Column, lines: Column) -> Column:
+    """Among the first four or last two lines of a page."""
+    return (line_id < 4) | (lines - line_id < 3)
+
+
 def without_furniture(line: Column, at_edge: Column) -> Column:
     """at_edge: one of the first four or last two lines of its page."""
     edge = py_strip(line)

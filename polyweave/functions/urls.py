@@ -14,8 +14,9 @@ CLEANING = (
 )
 #: Extensions of media files, and what an address may not contain (fixed values).
 MEDIA = (
-    "avi wmv mpeg mp4 mov mkv flv f4v m4v rmvb rm 3gp dat ts mts vob bmp jpg png tiff gif pcx tga exif fpx svg psd cdr pcd dxf ufo eps ai raw wmf mp3 aiff aac"
-).split()
+    "avi", "wmv", "mpeg", "mp4", "mov", "mkv", "flv", "f4v", "m4v", "rmvb", "rm", "3gp", "dat", "ts", "mts", "vob", "bmp", "jpg", "png", "tiff", "gif", "pcx", "tga", "exif", "fpx", "svg",
+    "psd", "cdr", "pcd", "dxf", "ufo", "eps", "ai", "raw", "wmf", "mp3", "aiff", "aac",
+)
 EXCLUDED = ("search?", "download?", "subscribe?", "system/403?", "sustainabledevelopment.un.org/", "https://www.un.org/unispal/documents/?")
 #: How file names write characters that they can't hold (fixed values).
 ESCAPES = (
@@ -56,6 +57,20 @@ def absolute(link: Column, base: Column) -> Column:
     )
 
 
+def in_language(url: Column, lang: str) -> Column:
+    """Addresses whose path begins with the language's folder."""
+    return F.coalesce(url.rlike(rf"^https?://[^/]+/{lang}/"), F.lit(False))
+
+
+#: Extensions of the documents to fetch (fixed values).
+DOCUMENTS = (".wpf", ".doc")
+
+
+def is_document(number: Column, url: Column) -> Column:
+    """A numbered document in a format that can be converted."""
+    return number.isNotNull() & extension(url).isin(*DOCUMENTS)
+
+
 def path_parts(url: Column) -> Column:
     path = F.url_decode(F.regexp_replace(F.regexp_extract(url, r"^[a-z]+://[^/]+(/[^?#]*)", 1), r"\+", "%2B"))
     return F.filter(F.split(path, "/"), lambda p: p != "")

@@ -1,12 +1,15 @@
 """Alignment of two segmentations of a text: longest common subsequence over tokens, then intervals or n:m components of lines.
 
-The subsequence is found by the method of Hunt and Szymanski, whose memory follows the number of matching token pairs, not
-the product of the lengths. Of equally long ones it is the one whose every beginning ends as early as possible in the input.
+The subsequence is found bit-parallel: whole numbers as rows, 64 cells a machine word. Of equally long ones it is the one whose
+every beginning ends as early as possible in the input.
+
+Defined results: null and empty arrays of lines align with nothing; null keys and repeated rows pass through; an empty table
+gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
-import bisect
+import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -19,26 +22,54 @@ TOKENIZERS: dict[str, Tokenizer] = {"words": str.split, "characters": lambda s:
 
 
 def common_subsequence(a: list, b: list) -> list[tuple[int, int]]:
-    """Index pairs, rising in both."""
-    places = defaultdict(list)
-    for i, x in enumerate(a):
-        places[x].append(i)
-    ends: list[int] = []
-    tails: list[tuple] = []
-    for j, y in enumerate(b):
-        for i in reversed(places.get(y, ())):
-            k = bisect.bisect_left(ends, i)
-            node = (i, j, tails[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(i)
-                tails.append(node)
-            elif i < ends[k]:
-                ends[k], tails[k] = i, node
-    out, node = [], tails[-1] if tails else None
-    while node:
-        out.append(node[:2])
-        node = node[2]
-    return out[::-1]
+    """Index pairs, rising in both.
+
+    A row of the table is one whole number, whose zero bits are the places of a where the length grows. Every so many rows one
+    is kept, and the rows between are computed again on the way back, so memory is a.length * sqrt(b.length) / 4 bytes.
+    """
+    start = 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    out = [(i, i) for i in range(start)]
+    places: dict = {}
+    for i in range(start, len(a)):
+        places[a[i]] = places.get(a[i], 0) | 1 << (i - start)
+    rows, full = b[start:], (1 << (len(a) - start)) - 1
+    if not places or not rows:
+        return out
+
+    def below(row: int, y) -> int:
+        m = places.get(y)
+        if m is None:
+            return row
+        u = row & m
+        return ((row + u) | (row - u)) & full
+
+    step = max(32, math.isqrt(len(rows)))
+    kept, row = [full], full
+    for j, y in enumerate(rows, 1):
+        row = below(row, y)
+        if j % step == 0:
+            kept.append(row)
+    length = (full ^ row).bit_length() and (full ^ row).bit_count()
+    pairs, at, block, base = [], (full ^ row).bit_length() - 1, None, 0
+    j = len(rows)
+    while length:
+        # Back to the first row that has the length at this place; the pair is there, and the rest lies in the row before.
+        while True:
+            if block is None or j - 1 < base:
+                base = (j - 1) // step * step
+                block = [kept[base // step]]
+                for y in rows[base : base + step]:
+                    block.append(below(block[-1], y))
+            zeros = full ^ block[j - 1 - base]
+            if zeros >> at & 1 and (zeros & ((1 << at) - 1)).bit_count() == length - 1:
+                j -= 1
+                continue
+            break
+        pairs.append((at + start, j - 1 + start))
+        at, length, j = (zeros & ((1 << at) - 1)).bit_length() - 1, length - 1, j - 1
+    return out + pairs[::-1]
 
 
 class Alignment:
@@ -114,7 +145,47 @@ class Alignment:
 ROWS = "clean_para_index_set_pair string, src string, dst string, src_text string, dst_text string, src_rate float, dst_rate float"
 
 
-def align_rows(df: DataFrame, key: str, source: str, target: str, tokenizer: str = "words", least: float = 0.2, names: tuple[str, str] = ("xx", "en")) -> DataFrame:
+def _tokenizer(given: str | Tokenizer) -> Tokenizer:
+    return TOKENIZERS[given] if isinstance(given, str) else given
+
+
+def interval_view(source: list[str], target: list[str], shown: list[str], least: float = 0.2, tokenizer: Tokenizer = str.split, glue: str = "") -> tuple[list[str], list[str], str, list[tuple[str, str]]]:
+    """Pairs target:first,last, dropped lines (0:target and 1:source), a view for reading, and the pairs' texts. shown: what stands for each target line."""
+    found = Alignment(source, target, tokenizer).intervals(least)
+    held = {i for a, b in found.values() for i in range(a, b + 1)}
+    aligned, dropped, view, pairs, at = [], [], [], [], 0
+    for j, text in enumerate(shown):
+        if j not in found:
+            view += ["", text, ""]
+            dropped.append(f"0:{j}")
+            continue
+        a, b = found[j]
+        for i in range(at, a):
+            if i not in held:
+                view += ["", source[i], ""]
+                dropped.append(f"1:{i}")
+        at = max(at, a)
+        whole = glue.join(source[a : b + 1])
+        view += ["", whole, "~" * 20, text, ""]
+        aligned.append(f"{j}:{a},{b}")
+        pairs.append((text, whole))
+    return aligned, dropped + [f"1:{i}" for i in range(at, len(source)) if i not in held], "\n".join(view), pairs
+
+
+def align_intervals(df: DataFrame, key: str, source: str, target: str, shown: str | None = None, tokenizer: str | Tokenizer = "words", least: float = 0.2, glue: str = "") -> DataFrame:
+    """One row for each document: aligned, dropped, preview and pairs of interval_view. shown: the column whose lines stand for the target's, such as the originals of translations."""
+    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, aligned array<string>, dropped array<string>, preview string, pairs array<struct<main:string,other:string>>"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            listed = lambda x: list(x) if x is not None else []
+            rows = [(k, *interval_view(listed(s), listed(t), listed(v), least, _tokenizer(tokenizer), glue)) for k, s, t, v in zip(b[key], b[source], b[target], b[shown or target])]
+            yield pd.DataFrame([(*r[:4], [{"main": m, "other": o} for m, o in r[4]]) for r in rows], columns=[key, "aligned", "dropped", "preview", "pairs"])
+
+    return df.select(key, *dict.fromkeys([source, target, shown or target])).mapInPandas(run, schema)
+
+
+def align_rows(df: DataFrame, key: str, source: str, target: str, tokenizer: str | Tokenizer = "words", least: float = 0.2, names: tuple[str, str] = ("xx", "en")) -> DataFrame:
     """One row for each component of each document: df holds two arrays of lines, a document is one row and is aligned alone."""
     schema = f"`{key}` {df.schema[key].dataType.simpleString()}, {ROWS}"
 
@@ -123,7 +194,7 @@ def align_rows(df: DataFrame, key: str, source: str, target: str, tokenizer: str
             rows = []
             for k, a, b in zip(batch[key], batch[source], batch[target]):
                 a, b = list(a if a is not None else ()), list(b if b is not None else ())
-                for c in Alignment(a, b, TOKENIZERS[tokenizer]).components(least) if a and b else ():
+                for c in Alignment(a, b, _tokenizer(tokenizer)).components(least) if a and b else ():
                     pair = "|".join(",".join(map(str, c[s])) for s in ("source", "target"))
                     rows.append((k, pair, *names, "\n".join(a[i] for i in c["source"]), "\n".join(b[j] for j in c["target"]), c["source_rate"], c["target_rate"]))
             yield pd.DataFrame(rows, columns=[key, *[x.split()[0] for x in ROWS.split(", ")]])

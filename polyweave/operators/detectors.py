@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import difflib
 import re
 from collections.abc import Callable, Iterator
 
@@ -9,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.staging import materialised
 from . import align, lines as L
 
 Detector = Callable[[DataFrame], DataFrame]
@@ -62,10 +64,9 @@ def rule_based(sentences: Callable[[str], list[str]] = split_sentences) -> Detec
             found = sentences(f"{a[-100:]} {b[:100]}")
             if len(found) <= 1:
                 return 200
-            import difflib
-
-            worst = max(difflib.SequenceMatcher(None, s, x, autojunk=False).ratio() for s in found for x in (a[-100:], b[:100]))
-            return -int((worst - 0.6) * 666.7)
+            # How much the sentence most like the next line is like it, blanks aside: 0.6 scores 0, 0.9 scores -200.
+            best = max(difflib.SequenceMatcher(lambda c: c == " ", s, b[:100]).ratio() for s in found)
+            return -int((best - 0.6) * 666.7)
 
         return pd.Series([[score(a, b) for a, b in zip(ls, ls[1:])] for ls in rows])
 
@@ -75,7 +76,8 @@ def rule_based(sentences: Callable[[str], list[str]] = split_sentences) -> Detec
         scored = df.withColumns({"_s": simple, "_x": special, "_n": one_sentence("lines")})
         flags = F.transform(F.arrays_zip("_s", "_x", "_n"), lambda z: F.when(z["_x"] > 0, F.lit(False)).when(z["_x"] < 0, F.lit(True)).otherwise(z["_s"] + z["_n"] <= 0))
         scored = scored.withColumn("detected", flags).drop("_s", "_x", "_n")
-        keyed = scored.withColumn("_id", F.monotonically_increasing_id()) if "doc_id" not in scored.columns else scored.withColumn("_id", F.col("doc_id"))
+        # Written first: two branches read the rows' own number, which a repeated task might deal out otherwise.
+        keyed = materialised(scored.withColumn("_id", F.monotonically_increasing_id()))
         rows = keyed.select("_id", F.posexplode("lines").alias("line_id", "line"))
         soft = L.list_runs(rows, "_id").groupBy("_id").agg(F.collect_set("line_id").alias("_soft"))
         out = keyed.join(soft, "_id", "left")
@@ -91,7 +93,7 @@ def offline(labels: DataFrame, key: str = "record") -> Detector:
     def run(df: DataFrame) -> DataFrame:
         known = labels.select(key, F.col("is_hard_linebreak").alias("detected"))
         out = df.join(known, key, "left")
-        return out.withColumn("detected", F.coalesce("detected", F.raise_error(F.concat(F.lit("no labels for record "), F.col(key).cast("string"))).cast("array<boolean>")))
+        return out.withColumn("detected", F.coalesce("detected", F.raise_error(F.concat(F.lit("no labels for record "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("array<boolean>")))
 
     return run
 

@@ -36,6 +36,12 @@ def report(confusions: DataFrame) -> DataFrame:
     return classes.select(F.inline(rows))
 
 
+def histogram(scores: DataFrame, score: str, buckets: int = 10) -> DataFrame:
+    """bucket (from 0), n: scores from 0 to 1 in so many equal buckets, 1 in the last; nulls aside."""
+    bucket = F.least(F.floor(F.col(score) * buckets), F.lit(buckets - 1)).cast("int")
+    return scores.where(F.col(score).isNotNull()).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def error_view(lines: Column, truth: Column, predicted: Column) -> Column:
     """HTML in which the last word before each hard break is green (found), red (missed) or blue (wrong)."""
     def one(line: Column, i: Column) -> Column:

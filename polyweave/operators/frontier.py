@@ -1,4 +1,8 @@
-"""Crawl frontiers over a known link table: url and status (0 new, 1 done, -1 failed)."""
+"""Crawl frontiers over a known link table: url and status (0 new, 1 done, -1 failed).
+
+Defined results: null addresses and targets are never reached; repeated links and seeds count once; an empty table of seeds gives
+an empty result, an empty link table failed seeds; further columns are ignored, but content_marks keeps them.
+"""
 
 from __future__ import annotations
 
@@ -36,7 +40,12 @@ def progress(states: DataFrame) -> DataFrame:
 
 
 def content_marks(content: DataFrame) -> DataFrame:
-    """hash and is_duplicate: of equal contents the one with the smallest id is no duplicate."""
+    """hash and is_duplicate: of equal contents the one with the smallest id is no duplicate. Null contents are equal to one another and have a null hash."""
     rows = content.withColumn("hash", F.md5("content"))
-    first = rows.groupBy("hash").agg(F.min("id").alias("first"))
-    return rows.join(first, "hash").withColumn("is_duplicate", (F.col("id") > F.col("first")).cast("int")).drop("first")
+    first = rows.groupBy(F.col("hash").alias("_hash")).agg(F.min("id").alias("_first"))
+    return rows.join(first, F.col("hash").eqNullSafe(F.col("_hash"))).withColumn("is_duplicate", (F.col("id") > F.col("_first")).cast("int")).drop("_first", "_hash")
+
+
+def highest_number(names: DataFrame, name: str, extension: str = "json") -> DataFrame:
+    """The highest number of files that are named by numbers; one row, NULL without any."""
+    return names.agg(F.max(F.nullif(F.regexp_extract(name, rf"^(\d+)\.{extension}$", 1), F.lit("")).try_cast("bigint")).alias("highest"))

@@ -55,7 +55,8 @@ def page_offset(pages: DataFrame, key: list[str], reach: tuple[int, int] = (-9,
 
     The smallest of equals; NULL where no page agrees or fewer than half of them do.
     """
-    numbers = F.array_distinct(F.filter(F.transform(F.regexp_extract_all(F.substring("page", 1, HEAD), F.lit(r"(\d+)"), F.lit(1)), lambda x: x.try_cast("int")), lambda x: x.isNotNull()))
+    printed = F.filter(F.regexp_extract_all(F.substring("page", 1, HEAD), F.lit(r"(\d+)"), F.lit(1)), lambda x: x.rlike("^(?:0|[1-9][0-9]*)$"))  # 007 is no page 7
+    numbers = F.array_distinct(F.filter(F.transform(printed, lambda x: x.try_cast("int")), lambda x: x.isNotNull()))
     hits = pages.select(*key, "page_id", F.explode(numbers).alias("number")).select(*key, "page_id", (F.col("number") - F.col("page_id")).alias("offset")).where(F.col("offset").between(*reach))
     per = hits.distinct().groupBy(*key, "offset").agg(F.count(F.lit(1)).alias("hits"))
     best = per.groupBy(*key).agg(F.max(F.struct("hits", (-F.col("offset")).alias("o"))).alias("best"))

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from .detectors import split_sentences
 
 #: First pages of meeting records, from their heading to the note on corrections (fixed values).
-_END = r"Corrected records will be reissued electronically on the Official Document System of the United Nations \(http://documents\.un\.org\)\."
 INFO_PAGES = (
-    r"(?ms)United Nations\s.*?Corrections will be issued after the end of the session in a consolidated corrigendum\.", rf"(?ms)United Nations\s.*?{_END}",
-    rf"(?ms)This record contains the text of speeches delivered in English.*?{_END}",
+    r"(?ms)United Nations\s.*?Corrections will be issued after the end of the session in a consolidated corrigendum\.",
+    r"(?ms)United Nations\s.*?Corrected records will be reissued electronically on the Official Document System of the United Nations \(http://documents\.un\.org\)\.",
+    r"(?ms)This record contains the text of speeches delivered in English.*?Corrected records will be reissued electronically on the Official Document System of the United Nations \(http://documents\.un\.org\)\.",
 )
 
 
@@ -33,25 +33,36 @@ def without_info_pages(text: Column) -> Column:
 NEW_PARAGRAPH = re.compile(r"^(?:[0-9]{1,3}\. [A-Z]|•|(?:Mr|Mrs|Ms)\. )")
 
 
+#: Weights of the score, and what the length is held against (fixed values): full stop, comma, length at most, length that
+#: says nothing, small letter, one sentence or two, new paragraph.
+STOP, COMMA, LONG, EVEN, SMALL, SENTENCES, NEW = 44.0, 81.0, 60, 32, 83.0, 200, 999.0
+
+
 def join_score(before: str, line: str, following: str, sentences: Callable[[str], list[str]]) -> float:
     """Over 0: the next line goes on. before: the paragraph as joined so far; line: its last line alone."""
     parts = sentences(f"{before} {following}")
-    score = -44.0 * before.endswith(".") + 81.0 * before.endswith(",") + min(60, len(line)) - 32 + 83.0 * following[:1].islower()
+    score = -STOP * before.endswith(".") + COMMA * before.endswith(",") + min(LONG, len(line)) - EVEN + SMALL * following[:1].islower()
     if len(parts) == 1:
-        score += 200
+        score += SENTENCES
     elif len(parts) == 2 and parts[0].strip() == before.strip() and parts[1].strip() == following.strip():
-        score -= 200
-    return score - 999.0 * bool(NEW_PARAGRAPH.match(following))
+        score -= SENTENCES
+    return score - NEW * bool(NEW_PARAGRAPH.match(following))
 
 
-def join_lines(lines: list[str], sentences: Callable[[str], list[str]] = split_sentences) -> list[str]:
-    """Paragraphs of an English page: the left side grows with each line that it takes in."""
+def join_lines(lines: list[str], sentences: Callable[[str], list[str]] = split_sentences, keep_blank: bool = False) -> list[str]:
+    """Paragraphs of an English page: the left side grows with each line that it takes in.
+
+    keep_blank: blank lines stay and nothing is joined over them, as in the published script; without, they are left out.
+    """
     out: list[str] = []
     last = ""
     for line in (x.strip() for x in lines):
         if not line:
+            if keep_blank:
+                out.append(line)
+                last = line
             continue
-        if out and join_score(out[-1], last, line, sentences) > 0:
+        if out and out[-1] and join_score(out[-1], last, line, sentences) > 0:
             out[-1] += f" {line}"
         else:
             out.append(line)
@@ -60,7 +71,10 @@ def join_lines(lines: list[str], sentences: Callable[[str], list[str]] = split_s
 
 
 def mark_titles(lines: list[str], titles: list[str], most: int = 3) -> list[str]:
-    """Lines, or pairs of lines, that are a title up to so many edits become ====title====; each title is used once, in the order of the lines."""
+    """Lines, or pairs of lines, that are a title up to so many edits become ====title====, as often as they occur.
+
+    Titles are tried in their order, each with the line alone first and then with the line before it, where that is still open.
+    """
 
     def distance(a: str, b: str) -> int:
         if abs(len(a) - len(b)) > most or max(sum((Counter(a) - Counter(b)).values()), sum((Counter(b) - Counter(a)).values())) > most:
@@ -72,20 +86,22 @@ def mark_titles(lines: list[str], titles: list[str], most: int = 3) -> list[str]
                 diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
         return row[-1]
 
-    left, out, i = list(titles), [], 0
-    while i < len(lines):
-        for n in (1, 2):
-            given = " ".join(lines[i : i + n])
-            hit = next((t for t in left if i + n <= len(lines) and distance(given, t) <= most), None)
+    out, waiting = [], None
+    for line in lines:
+        hit = None
+        for t in titles:
+            if distance(line, t) <= most:
+                hit, before = t, waiting
+            elif waiting is not None and distance(f"{waiting} {line}", t) <= most:
+                hit, before = t, None
             if hit is not None:
-                left.remove(hit)
-                out.append(f"\n===={hit}====\n")
-                i += n
                 break
-        else:
-            out.append(lines[i])
-            i += 1
-    return out
+        if waiting is not None and (hit is None or before is not None):
+            out.append(waiting)
+        waiting = line if hit is None else None
+        if hit is not None:
+            out.append(f"\n===={hit}====\n")
+    return out if waiting is None else [*out, waiting]
 
 
 CLOSING = re.compile(r"[。！？；：:;.!?”’）)]$")
@@ -122,6 +138,32 @@ def merge_chinese_segments(segments: list[str], han: Callable[[str], bool] = lam
     return stack
 
 
+def back_off_chunks(words: list[str], count: Callable[[str], int], limit: int = 512) -> list[str]:
+    """Words in chunks of limit tokens at most: as many words as the limit, halved until they fit. ValueError for a word that never does."""
+    out, at = [], 0
+    while at < len(words):
+        take = min(len(words) - at, limit)
+        while count(" ".join(words[at : at + take])) > limit:
+            if take == 1:
+                raise ValueError(f"one word is over {limit} tokens")
+            take = (1 + take) // 2
+        out.append(" ".join(words[at : at + take]))
+        at += take
+    return out
+
+
+def marked_titles(pages: DataFrame, key: str, contents: str, lines: str) -> DataFrame:
+    """key, titles, lines: titles are read from the lines of each row's contents page and marked in its lines."""
+    from .headers import index_titles
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            titles = [index_titles(list(x) if x is not None else []) for x in b[contents]]
+            yield pd.DataFrame({key: b[key], "titles": titles, "lines": [mark_titles([y.strip() for y in x] if x is not None else [], t) for t, x in zip(titles, b[lines])]})
+
+    return pages.select(key, contents, lines).mapInPandas(run, f"`{key}` {pages.schema[key].dataType.simpleString()}, titles array<string>, lines array<string>")
+
+
 def map_lines(df: DataFrame, key: str, lines: str, body: Callable[[list[str]], list[str]]) -> DataFrame:
     """body over each row's lines, in batches: key, lines."""
 

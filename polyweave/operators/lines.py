@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.binding import let
 from ..functions.numerals import marker
-from ..functions.text import py_split
+from ..functions.text import positions_of, py_split
 
 
 def to_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -124,6 +127,43 @@ def near_matches(true: Column, predicted: Column, margin: int) -> Column:
     return F.aggregate(predicted, start, step, lambda acc: acc["out"])
 
 
+def near_match_flags(true: Column, predicted: Column, margin: int) -> Column:
+    """struct(is_match_true, is_match_pred): which indices of either list near_matches pairs."""
+    both = lambda found: F.struct(
+        F.transform(true, lambda t: F.array_contains(F.filter(found, lambda x: x.isNotNull()), t)).alias("is_match_true"), F.transform(found, lambda x: x.isNotNull()).alias("is_match_pred")
+    )
+    return let(near_matches(true, predicted, margin), both)
+
+
+def compare_breaks(raw: Column, joined: Column) -> Column:
+    """For each line feed of raw whether joined, a text of the same length, has it too; NULL where the lengths differ."""
+    other = F.split(joined, "")
+    flags = let(other, lambda cs: F.transform(positions_of(raw, "\n"), lambda p: F.get(cs, p) == "\n"))
+    return F.when(F.length(raw) == F.length(joined), flags)
+
+
+def token_batches(df: DataFrame, key: str, lines: str, count: Callable[[str], int], limit: int = 512, least: int = 20) -> DataFrame:
+    """key, batch, first, last (line numbers), tokens, skipped: as many lines as stay under the limit, counted on the joined lines by an outside function.
+
+    A line that reaches the limit by itself is a batch of its own. A last batch of fewer than the least tokens is marked as skipped.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for k, ls in zip(b[key], b[lines]):
+                ls, first, n = list(ls) if ls is not None else [], 0, 0
+                while first < len(ls):
+                    last, tokens = first, count(ls[first])
+                    while last + 1 < len(ls) and (more := count("\n".join(ls[first : last + 2]))) < limit:
+                        last, tokens = last + 1, more
+                    rows.append((k, n, first, last, tokens, last + 1 == len(ls) and tokens < least))
+                    first, n = last + 1, n + 1
+            yield pd.DataFrame(rows, columns=[key, "batch", "first", "last", "tokens", "skipped"])
+
+    return df.select(key, lines).mapInPandas(run, f"`{key}` {df.schema[key].dataType.simpleString()}, batch int, first int, last int, tokens int, skipped boolean")
+
+
 def text_start(lines: Column, scan: int = 12, short: int = 40) -> Column:
     """The line where a first page's text starts: behind the first line that says agenda, else the first that no rule takes for noise.
 

@@ -2,6 +2,9 @@
 
 A record has a file name, a position in its file and one text for each language. Nothing here gathers a file in one task: first
 occurrences are found by aggregation, and row numbers by counting stretches of positions first.
+
+Defined results: a null file name counts as an empty one, null texts as empty; repeated rows are one; an empty table gives an
+empty result; columns beside those of the format are dropped by normalise and kept by numbered, whose own begin with an underscore.
 """
 
 from __future__ import annotations
@@ -20,8 +23,36 @@ LEGACY_KEPT = ["行号", "是否重复", "是否跨文件重复", *LANG_FIELDS,
 
 
 def canonical_extension(x: Column) -> Column:
-    """The extension field with sorted keys and no white space; an object without members where it is missing or broken."""
-    return F.coalesce(F.to_json(F.try_parse_json(F.nullif(x, F.lit("")))), F.lit("{}"))
+    """The extension field with sorted keys and no white space; an object without members where it is missing or empty, NULL where it is broken."""
+    return F.when(F.coalesce(x, F.lit("")) == "", F.lit("{}")).otherwise(F.to_json(F.try_parse_json(x)))
+
+
+def extension_column(names: list[str], of=F.col) -> Column:
+    """The extension field under its name or, where that is null or missing, under the misspelt one that some files have."""
+    found = [of(c) for c in ("扩展字段", "拓展字段") if c in names]
+    return F.coalesce(*found, F.lit("{}")) if found else F.lit("{}")
+
+
+def salvaged_json(x: Column) -> Column:
+    """JSON whose first brace was lost gets it back; sorted keys, NULL where that doesn't help."""
+    # Parsers stop behind a first value, so what doesn't begin like an object or a list is no JSON here.
+    return F.to_json(F.coalesce(F.when(x.rlike(r"^\s*[\[{]"), F.try_parse_json(x)), F.try_parse_json(F.concat(F.lit("{"), x))))
+
+
+def fixed_fields(records: DataFrame) -> DataFrame:
+    """The published format's fields in its order; ValueError that names those missing."""
+    if missing := [f for f in FIELDS if f not in records.columns]:
+        raise ValueError(f"fields are missing: {', '.join(missing)}")
+    return records.select(*FIELDS)
+
+
+def rejected_paragraphs(files: DataFrame) -> DataFrame:
+    """File, position and reason of each nested paragraph that the format forbids: broken extension fields, and texts in fields for languages that must be named."""
+    inside = files.schema["段落"].dataType.elementType.names
+    p = files.select("文件名", F.posexplode("段落").alias("pos", "p"))
+    broken = [F.when(canonical_extension(extension_column(inside, lambda c: F.col(f"p.{c}"))).isNull(), F.lit("broken extension"))]
+    unnamed = [F.when(F.coalesce(F.col(f"p.{c}"), F.lit("")) != "", F.lit(f"{c} is not empty")) for c in ("other1_text", "other2_text") if c in inside]
+    return p.select("文件名", "pos", F.explode(F.filter(F.array(*broken, *unnamed), lambda r: r.isNotNull())).alias("reason"))
 
 
 def unknown_extension_keys(records: DataFrame, known: tuple[str, ...] = ("other_texts", "k")) -> DataFrame:
@@ -36,13 +67,17 @@ def bad_other_languages(ext: Column) -> Column:
 
 
 def explode_legacy(files: DataFrame) -> DataFrame:
-    """One row for each paragraph of files with nested ones: the date is inherited where a paragraph has none, missing languages are empty."""
+    """One row for each paragraph of files with nested ones: the date is inherited where a paragraph has none, missing languages are empty.
+
+    Of a paragraph's fields those in LEGACY_KEPT stay, where it has them. Broken extension fields are NULL; rejected_paragraphs lists them.
+    """
     p = files.select("文件名", F.col("时间").alias("file_date"), F.posexplode("段落").alias("pos", "p"))
     inside = files.schema["段落"].dataType.elementType.names
     texts = [F.coalesce(F.col(f"p.{f}") if f in inside else F.lit(None).cast("string"), F.lit("")).alias(f) for f in LANG_FIELDS]
-    ext = F.col("p.扩展字段") if "扩展字段" in inside else F.lit(None).cast("string")
+    ext = extension_column(inside, lambda c: F.col(f"p.{c}"))
     own_date = F.col("p.时间") if "时间" in inside else F.lit(None).cast("string")
-    return p.select("文件名", "pos", *texts, canonical_extension(ext).alias("扩展字段"), F.coalesce(F.nullif(own_date, F.lit("")), F.col("file_date"), F.lit("")).alias("时间"))
+    kept = [F.col(f"p.{c}").alias(c) for c in LEGACY_KEPT if c in inside and c not in (*LANG_FIELDS, "扩展字段", "时间")]
+    return p.select("文件名", "pos", *kept, *texts, canonical_extension(ext).alias("扩展字段"), F.coalesce(F.nullif(own_date, F.lit("")), F.col("file_date"), F.lit("")).alias("时间"))
 
 
 def numbered(df: DataFrame, key: str, order: list[str], stretch: Column, name: str) -> DataFrame:
@@ -51,7 +86,8 @@ def numbered(df: DataFrame, key: str, order: list[str], stretch: Column, name: s
     sizes = rows.groupBy(key, "_stretch").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = F.row_number().over(Window.partitionBy(key, "_stretch").orderBy(*order))
-    out = rows.withColumn("_inside", inside).join(before.drop("_n"), [key, "_stretch"])
+    before = before.select(F.col(key).alias("_key"), F.col("_stretch").alias("_of"), "_before")
+    out = rows.withColumn("_inside", inside).join(before, F.col(key).eqNullSafe(F.col("_key")) & F.col("_stretch").eqNullSafe(F.col("_of"))).drop("_key", "_of")
     return out.withColumn(name, (F.col("_inside") + F.col("_before")).cast("long")).drop("_stretch", "_inside", "_before")
 
 
@@ -62,9 +98,11 @@ def is_redundant(langs: list[str]) -> Column:
 
 def first_of_equal(df: DataFrame, keys: list[str], pos: list[str]) -> DataFrame:
     """Of rows with equal keys the one of the smallest position, with its other columns."""
-    others = [c for c in df.columns if c not in keys and c not in pos]
-    best = F.min(F.struct(*pos, *others)).alias("_best")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in [*pos, *others]])
+    # Keys can be long texts: groups are formed by two hashes of them, and a row moves once.
+    hashes = [F.xxhash64(F.lit(k), *[x for c in keys for x in (F.col(c).isNull(), F.col(c))]).alias(f"_h{k}") for k in (1, 2)]
+    rest = [c for c in df.columns if c not in pos]
+    best = F.min(F.struct(*pos, *rest)).alias("_best")
+    return df.groupBy(*hashes).agg(best).select("_best.*")
 
 
 def normalise(records: DataFrame, langs: list[str], pos: list[str], stretch: Column) -> DataFrame:
@@ -73,13 +111,15 @@ def normalise(records: DataFrame, langs: list[str], pos: list[str], stretch: Col
     records: 文件名, position columns, language columns (others of the nineteen become empty), 扩展字段, 时间.
     去重段落数 holds the number of repeated paragraphs, as published data does.
     """
-    rows = records.withColumns({f: py_strip(F.coalesce(F.col(f), F.lit(""))) for f in langs}).where(~is_redundant(langs))
+    named = {"文件名": F.coalesce("文件名", F.lit(""))}
+    rows = records.withColumns(named | {f: py_strip(F.coalesce(F.col(f), F.lit(""))) for f in langs}).where(~is_redundant(langs))
     rows = first_of_equal(rows, ["文件名", "扩展字段", *langs], pos)
-    firsts = rows.groupBy("文件名", "zh_text").agg(F.min(F.struct(*pos)).alias("_first"))
-    rows = rows.join(firsts, ["文件名", "zh_text"]).withColumn("是否重复", F.struct(*pos) > F.col("_first")).drop("_first")
+    rows = rows.withColumn("zh_text_md5", F.md5("zh_text"))
+    firsts = rows.groupBy("文件名", "zh_text_md5").agg(F.min(F.struct(*pos)).alias("_first"))
+    rows = rows.join(firsts, ["文件名", "zh_text_md5"]).withColumn("是否重复", F.struct(*pos) > F.col("_first")).drop("_first")
     rows = numbered(rows, "文件名", pos, stretch, "行号")
     files = rows.groupBy("文件名").agg(
         F.count(F.lit(1)).alias("段落数"), F.count_if("是否重复").alias("去重段落数"), F.count_if((F.col("zh_text") == "") | (F.col("en_text") == "")).alias("低质量段落数")
     )
-    constant = {"是否待查文件": F.lit(False), "是否重复文件": F.lit(False), "是否跨文件重复": F.lit(False), "zh_text_md5": F.md5("zh_text"), **{f: F.lit("") for f in LANG_FIELDS if f not in langs}}
+    constant = {"是否待查文件": F.lit(False), "是否重复文件": F.lit(False), "是否跨文件重复": F.lit(False), **{f: F.lit("") for f in LANG_FIELDS if f not in langs}}
     return rows.join(files, "文件名").withColumns(constant).select(*FIELDS)

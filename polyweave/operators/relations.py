@@ -1,4 +1,9 @@
-"""Joins, set operations and folds that the corpus scripts spell out as loops."""
+"""Joins, set operations and folds that the corpus scripts spell out as loops.
+
+Defined results: null keys join with nothing, so their rows stay in left joins and go in others; repeated rows on the side that
+is looked up multiply, but in already_done, difference and the drop side of reworked; empty tables give empty results, or all of
+the other side; further columns pass through, and those of our own begin with an underscore.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +14,19 @@ from pyspark.sql import functions as F
 def with_labels(df: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """df with its labels; a row without any is an error."""
     out = df.join(labels.withColumn("_there", F.lit(True)), key, "left")
-    return out.where(F.coalesce(F.col("_there"), F.raise_error(F.concat(F.lit("no label for "), F.col(key).cast("string"))).cast("boolean"))).drop("_there")
+    return out.where(F.coalesce(F.col("_there"), F.raise_error(F.concat(F.lit("no label for "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("boolean"))).drop("_there")
+
+
+def with_all(df: DataFrame, *texts: str) -> DataFrame:
+    """Rows in which none of the texts is empty or null."""
+    for t in texts:
+        df = df.where(F.coalesce(F.col(t), F.lit("")) != "")
+    return df
+
+
+def in_order(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows in order; give a position as the last key, so that equal ones keep it."""
+    return df.orderBy(*keys)
 
 
 def at_positions(df: DataFrame, shards: DataFrame, row: str = "row_id") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numerals, text as X, urls as U
 from ..operators import align, audit, blocks, charset, detectors, evaluate, frontier, headers, joiners, lines as L, records as R, relations
-from ..sources import readers
+from ..sources import readers, writers
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -62,17 +62,31 @@ def normalise_corpus(spark, sf_dir):
 
 
 @query(r"""
-select source as "文件名", doc_id - 1 + 1 as pos_doc, 'en' as lang, text as en_text, case when doc_id % 2 = 0 then '20230506' else '20240101' end as "时间", '{"a":1,"k":"v"}' as "扩展字段" from documents
+select source || '#' || doc_id as "文件名", pos::int as pos, pos::bigint as "行号", line as en_text, case when pos % 2 = 0 then '20230506' else '20240101' end as "时间", case pos % 3 when 0 then '{"a":1,"k":"v"}' when 1 then '{}' end as "扩展字段"
+from (select source, doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents)
 """)
 def legacy_explode(spark, sf_dir):
-    """ARR-01, ARR-08, JSN-01, AGG-04: nested paragraphs, inherited dates, canonical extension."""
-    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("文件名"), "doc_id", "text")
-    # One file for each document, as files nest their paragraphs.
-    p = F.array(F.struct(F.col("text").alias("en_text"), F.lit('{ "k": "v", "a": 1}').alias("扩展字段"), F.when(F.col("doc_id") % 2 == 0, "20230506").otherwise("").alias("时间")))
-    files = docs.select(F.concat_ws("#", "文件名", "doc_id").alias("文件名"), F.lit("20240101").alias("时间"), p.alias("段落"))
-    out = R.explode_legacy(files)
-    name = F.split("文件名", "#")
-    return out.select(name[0].alias("文件名"), name[1].cast("bigint").alias("pos_doc"), F.lit("en").alias("lang"), "en_text", "时间", "扩展字段")
+    """ARR-01, ARR-08, JSN-01, FLT-03: a file for each document with its lines as nested paragraphs, inherited dates, canonical extension."""
+    return R.explode_legacy(_legacy_files(spark, sf_dir)).select("文件名", "pos", "行号", "en_text", "时间", "扩展字段")
+
+
+def _legacy_files(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ext = lambda i: F.when(i % 3 == 0, '{ "k": "v", "a": 1}').when(i % 3 == 1, "").otherwise('{"k": ')
+    paragraph = lambda x, i: F.struct(
+        i.cast("bigint").alias("行号"), x.alias("en_text"), ext(i).alias("扩展字段"), F.when(i % 2 == 0, "20230506").otherwise("").alias("时间"),
+        F.when(i % 5 == 4, x).otherwise("").alias("other1_text"), F.lit("").alias("other2_text"), F.lit("gone").alias("备注"),
+    )
+    return docs.select(F.concat_ws("#", "source", "doc_id").alias("文件名"), F.lit("20240101").alias("时间"), F.transform(F.split("text", "\n"), paragraph).alias("段落"))
+
+
+@query(r"""
+with p as (select source || '#' || doc_id as "文件名", unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents)
+select "文件名", pos::int as pos, 'broken extension' as reason from p where pos % 3 = 2 union all select "文件名", pos::int, 'other1_text is not empty' from p where pos % 5 = 4 and line <> ''
+""")
+def rejected_paragraphs(spark, sf_dir):
+    """JSN-01, ARR-02: what the format forbids, by place and reason."""
+    return R.rejected_paragraphs(_legacy_files(spark, sf_dir))
 
 
 @query("""select json_extract_string(props, '$.k') as k, count(*) as n from events group by 1""")
@@ -104,7 +118,7 @@ def wrapped(spark, sf_dir) -> DataFrame:
 
 @query(rf"with {_WRAP} select doc_id, n as line_id, piece as line, hard from v")
 def rewrap_lines(spark, sf_dir):
-    """SRC-09, ARR-04: lines with known hard and soft breaks (the last break of a document is hard)."""
+    """Lines: lines with known hard and soft breaks (the last break of a document is hard)."""
     rows = wrapped(spark, sf_dir)
     return rows.select("doc_id", F.posexplode("lines").alias("line_id", "line"), "hard").select("doc_id", F.col("line_id").cast("bigint").alias("line_id"), "line", F.coalesce(F.get("hard", F.col("line_id")), F.lit(True)).alias("hard"))
 
@@ -133,7 +147,7 @@ c as (select doc_id, count(*) filter (t and p) as "TP", count(*) filter (t and n
 
 @query(rf"""{_CONFUSION} select *, ("TP" + "TN") / ("TP" + "FN" + "FP" + "TN") as accuracy from c""")
 def confusion_by_document(spark, sf_dir):
-    """AGG-11, SEQ-10, FLT-07, AGG-24."""
+    """AGG-11, SEQ-10."""
     return detectors.evaluate(wrapped(spark, sf_dir).where("size(lines) > 1"), {"name": "punctuation_capital"})
 
 
@@ -153,21 +167,11 @@ with d as (select doc_id, list_filter(list_transform(string_split(text, chr(10))
 select doc_id, (i - 1)::bigint as paragraph, ls[i] as text from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as i from d)
 """)
 def join_soft_lines(spark, sf_dir):
-    """WIN-08, SNK-07, ARR-05: joining at the true soft breaks gives the original lines."""
+    """WIN-08: joining at the true soft breaks gives the original lines."""
     rows = wrapped(spark, sf_dir).select("doc_id", F.posexplode(L.join_soft(F.col("lines"), F.col("hard"))).alias("paragraph", "text"))
     return rows.withColumn("paragraph", F.col("paragraph").cast("bigint"))
 
 
-@query(rf"""
-with {_LINES}, m as (select doc_id, line_id, (line_id // 3 % 5 + 1) as c from l where line_id % 3 = 0 and line_id < 60),
-r as (select doc_id, line_id, c, lag(line_id) over w as prev, lag(c) over w as pc from m window w as (partition by doc_id order by line_id))
-select doc_id, unnest(range(prev, line_id - 1)) as line_id from r where c = pc + 1 and line_id - 2 >= prev
-""")
-def list_marker_runs(spark, sf_dir):
-    """all_list_marker_runs with markers before line 60 only, as its SQL says: a part only."""
-    return _marker_runs(table(spark, sf_dir, "documents"), F.col("line_id") < 60)
-
-
 @query(rf"""
 with {_LINES}, m as (select doc_id, line_id, (line_id // 3 % 5 + 1) as c from l where line_id % 3 = 0),
 r as (select doc_id, line_id, c, lag(line_id) over w as prev, lag(c) over w as pc from m window w as (partition by doc_id order by line_id))
@@ -227,7 +231,7 @@ _LOG = "g as (select 'r' || user_id as record, event_type as reason, len(string_
 
 @query(f"with {_LOG} select record, reason, count(*) as n from g group by all")
 def audit_by_record(spark, sf_dir):
-    """AGG-05, SRT-02."""
+    """AGG-05."""
     return audit.per_record(event_log(spark, sf_dir))
 
 
@@ -258,7 +262,7 @@ b as (select doc_id, p::int as page_id, 'General Report' || chr(10) || (p + 2) |
 
 @query(rf"with {_PAGES}, t as (select doc_id, unnest(list_filter(regexp_split_to_array(substr(page, 1, 100), '\s+'), lambda x: x <> '')) as token from b) select doc_id, token, count(*) as n from t group by all")
 def header_tokens(spark, sf_dir):
-    """AGG-13, T6."""
+    """AGG-13."""
     return headers.head_tokens(pages_of(spark, sf_dir), ["doc_id"])
 
 
@@ -274,7 +278,7 @@ def header_digests(spark, sf_dir):
     return headers.head_digests(pages_of(spark, sf_dir), ["doc_id"])
 
 
-@query(rf"""with {_PAGES}, n as (select doc_id, page_id, try_cast(unnest(regexp_extract_all(substr(page, 1, 100), '(\d+)', 1)) as int) as x from b),
+@query(rf"""with {_PAGES}, n as (select doc_id, page_id, try_cast(v as int) as x from (select doc_id, page_id, unnest(regexp_extract_all(substr(page, 1, 100), '(\d+)', 1)) as v from b) where regexp_full_match(v, '0|[1-9][0-9]*')),
 h as (select distinct doc_id, page_id, x - page_id as o from n where x - page_id between -9 and 2), c as (select doc_id, o, count(*) as hits from h group by all),
 z as (select doc_id, max(hits) as hits, arg_min(o, (-hits, o)) as o from c group by doc_id), t as (select doc_id, count(*) as pages from b group by doc_id)
 select t.doc_id, pages, case when z.hits >= pages // 2 then z.o end::int as "offset" from t left join z using (doc_id)""")
@@ -339,36 +343,18 @@ select page_id, regexp_replace(regexp_replace(regexp_replace(u, '/[^./]*?/../',
   list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/]+(/[^?#]*)', 1), '/'), lambda x: x <> '') as parts from b
 """)
 def clean_urls(spark, sf_dir):
-    """STR-20/22, FLT-17."""
+    """STR-20/22."""
     url = F.col("url")
     return table(spark, sf_dir, "pages").select("page_id", U.clean_url(url).alias("clean"), U.host(url).alias("host"), U.path_parts(url).alias("parts"))
 
 
-def link_table(spark, sf_dir) -> DataFrame:
-    """A link table among pages: each page links to two others by number."""
-    p = table(spark, sf_dir, "pages")
-    to = lambda k, c: p.select(F.concat(F.lit("p"), "page_id").alias("url"), F.concat(F.lit("p"), ((F.col("page_id") * k + c) % 10_007).cast("string")).alias("target"))
-    return to(2, 1).union(to(3, 2))
-
-
-@query(r"""
-with recursive l as (select 'p' || page_id as url, 'p' || ((page_id * 2 + 1) % 10007) as target from pages union select 'p' || page_id, 'p' || ((page_id * 3 + 2) % 10007) from pages),
-s as (select 'p0' as url, 0 as d union select l.target, d + 1 from s join l on s.url = l.url where d < 5), f as (select url, min(d) as d from s group by url)
-select url, case when d >= 5 then 0 when exists (select 1 from l where l.url = f.url) then 1 else -1 end::int as status from f
-""")
-def crawl_frontier(spark, sf_dir):
-    """Five rounds from one page, as its SQL says; whole_crawl goes on until nothing is new."""
-    seeds = spark.createDataFrame([("p0",)], "url string")
-    return frontier.crawl(seeds, link_table(spark, sf_dir), 5)
-
-
 @query(r"""
 with recursive l as (select 'p' || page_id as url, 'p' || unnest([page_id * 2 + 1, page_id * 2 + 2, page_id // 2]) as target from pages),
 s as (select 'p0' as url union select l.target from s join l on s.url = l.url)
 select url, case when exists (select 1 from l where l.url = s.url) then 1 else -1 end::int as status from s
 """)
 def whole_crawl(spark, sf_dir):
-    """GRA-03, SRC-11, SNK-10: from one page until no address is new. Each page links to two behind it and one before it, so all are reached, and those behind the last fail."""
+    """GRA-03: from one page until no address is new. Each page links to two behind it and one before it, so all are reached, and those behind the last fail."""
     to = F.explode(F.array(F.col("page_id") * 2 + 1, F.col("page_id") * 2 + 2, F.floor(F.col("page_id") / 2)))
     links = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), "page_id").alias("url"), to.alias("to")).select("url", F.concat(F.lit("p"), "to").alias("target"))
     return frontier.crawl(spark.createDataFrame([("p0",)], "url string"), links)
@@ -398,15 +384,8 @@ def semi_lines(spark, sf_dir):
 
 @query("select lang, count(*) as docs from documents where doc_id not in (select doc_id from labels) group by lang")
 def anti_labels(spark, sf_dir):
-    """FLT-10, SET-05, SNK-11."""
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti").groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
-
-
-@query("""select coalesce(d.doc_id, l.doc_id) as doc_id, case when l.doc_id is null then '+' else '-' end as side from (select doc_id from documents where doc_id % 3 <> 0) d full join (select doc_id from labels) l on d.doc_id = l.doc_id where d.doc_id is null or l.doc_id is null""")
-def full_outer_difference(spark, sf_dir):
-    """document_label_difference without every third document, as its SQL says: a part only."""
-    d, l = table(spark, sf_dir, "documents").where("doc_id % 3 <> 0").select("doc_id", F.lit(True).alias("a")), table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("b"))
-    return d.join(l, "doc_id", "full").where("a is null or b is null").select("doc_id", F.when(F.col("b").isNull(), "+").otherwise("-").alias("side"))
+    """FLT-10, SET-05, SNK-11: what a resumed job has still to do."""
+    return writers.missing(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id").groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
 
 
 @query("""select coalesce(d.doc_id, l.doc_id) as doc_id, case when l.doc_id is null then '+' else '-' end as side from (select distinct doc_id from documents) d full join (select distinct doc_id from labels) l on d.doc_id = l.doc_id where d.doc_id is null or l.doc_id is null""")
@@ -446,13 +425,6 @@ def seven_day_buckets(spark, sf_dir):
     return readers.seven_day_buckets(dates, "a", "b")
 
 
-@query("""with w as (select source, unnest(string_split(lower(text), ' ')) as word, generate_subscripts(string_split(lower(text), ' '), 1) as i, doc_id from documents), p as (select doc_id, word, lag(word) over (partition by doc_id order by i) as prev from w)
-select prev, word, count(*) as n from p where prev is not null group by all having count(*) > 20""")
-def word_pairs(spark, sf_dir):
-    """Of all_word_pairs those that occur over twenty times, as its SQL says: a part only."""
-    return all_word_pairs(spark, sf_dir).where("n > 20")
-
-
 @query("""with w as (select unnest(string_split(lower(text), ' ')) as word, generate_subscripts(string_split(lower(text), ' '), 1) as i, doc_id from documents), p as (select doc_id, word, lag(word) over (partition by doc_id order by i) as prev from w)
 select prev, word, count(*) as n from p where prev is not null group by all""")
 def all_word_pairs(spark, sf_dir):
@@ -462,7 +434,7 @@ def all_word_pairs(spark, sf_dir):
 
 @query("select doc_id, round(length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / length(text), 9) as rate, len(string_split(text, chr(10))) > 2 as long_enough from documents")
 def letter_rate_filter(spark, sf_dir):
-    """FLT-05/06, STR-09."""
+    """The shares that FLT-05/06 filter by."""
     return table(spark, sf_dir, "documents").select("doc_id", F.round(X.latin_share(F.col("text")), 9).alias("rate"), (F.size(F.split("text", "\n")) > 2).alias("long_enough"))
 
 
@@ -474,20 +446,14 @@ def text_chunks(spark, sf_dir):
 
 @query("select role, count(*) as n, count(distinct conv_id) as convs, max(turn) as last from conversations group by role")
 def role_counts(spark, sf_dir):
-    """AGG-25, AGG-27."""
+    """Rows, conversations and last turn by role."""
     return table(spark, sf_dir, "conversations").groupBy("role").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("conv_id").alias("convs"), F.max("turn").alias("last"))
 
 
 @query("select conv_id, arg_max(text, turn) as text, max(turn) as turn from conversations group by conv_id")
 def last_value_wins(spark, sf_dir):
     """AGG-23."""
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.max_by("text", "turn").alias("text"), F.max("turn").alias("turn"))
-
-
-@query("""select doc_id, list_distinct(list_filter(string_split(text, ' '), lambda x: x like '%a')) as w from documents where doc_id < 0""")
-def set_algebra_empty(spark, sf_dir):
-    """An empty input keeps its schema."""
-    return table(spark, sf_dir, "documents").where("doc_id < 0").select("doc_id", F.array_distinct(F.filter(F.split("text", " "), lambda x: x.endswith("a"))).alias("w"))
+    return relations.last_wins(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")
 
 
 @query("select doc_id, lang, source, n_chars from documents where doc_id between 100 and 199")
@@ -514,8 +480,10 @@ def link_tree_unnest(spark, sf_dir):
 
 
 def _two_sides(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "").alias("olines"))
-    return docs.join(wrapped(spark, sf_dir).select("doc_id", "lines"), "doc_id")
+    """Original lines and re-wrapped ones of each document; both come from one row, so nothing is joined."""
+    olines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    docs = table(spark, sf_dir, "documents").select(F.struct("doc_id", olines.alias("olines")).alias("k"), "text")
+    return L.rewrap(docs, 8, key="k").select("k.doc_id", "k.olines", "lines")
 
 
 @query()
@@ -547,20 +515,6 @@ def rule_based_breaks(spark, sf_dir):
     return detectors.evaluate(wrapped(spark, sf_dir).where("size(lines) > 1"), {"name": "rule_based"})
 
 
-@query("""select x, r, c from (values ('XIV. ', 14, 14), ('IX', 9, 9), ('MCMXCIV', 1994, 1994), ('', 0, 0)) t(x, r, c)""")
-def roman_numerals(spark, sf_dir):
-    """STR-18 on literals; line_numerals reads the documents."""
-    rows = spark.createDataFrame([("XIV. ", 14), ("IX", 9), ("MCMXCIV", 1994), ("", 0)], "x string, r int")
-    return rows.select("x", "r", numerals.roman(F.col("x")).alias("c"))
-
-
-@query("""select x, r, c from (values ('二十一、', 21, 21), ('十', 10, 10), ('十五', 15, 15), ('三百零四', 304, 304)) t(x, r, c)""")
-def chinese_numerals(spark, sf_dir):
-    """STR-18 on literals; line_numerals reads the documents."""
-    rows = spark.createDataFrame([("二十一、", 21), ("十", 10), ("十五", 15), ("三百零四", 304)], "x string, r int")
-    return rows.select("x", "r", numerals.chinese(F.col("x")).alias("c"))
-
-
 @query()
 def line_numerals(spark, sf_dir):
     """STR-18: every line of the documents as a Roman and as a Chinese numeral."""
@@ -570,7 +524,7 @@ def line_numerals(spark, sf_dir):
 
 @query("""select event_type, date_trunc('day', ts)::timestamp as day, count(*) as n, round(sum(value), 4) as total from events group by all""")
 def daily_events(spark, sf_dir):
-    """STM-00: what the tumbling stream gives, in one batch."""
+    """Events by day and type."""
     e = table(spark, sf_dir, "events")
     return e.groupBy("event_type", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
@@ -604,12 +558,6 @@ def reworked_rows(spark, sf_dir):
     return relations.reworked(table(spark, sf_dir, "documents").select("doc_id", "lang"), rework, labels.where("quality = 0"), ["doc_id"], "lang")
 
 
-@query("""select c_custkey as value, 'c' as name, n_name as key from customer join nation on c_nationkey = n_nationkey where c_custkey % 2 = 0 union all select c_custkey, 'd', n_name from customer join nation on c_nationkey = n_nationkey where c_custkey % 2 = 0""")
-def inverted_maps(spark, sf_dir):
-    """all_inverted_maps of every second customer, as its SQL says: a part only."""
-    return _inverted(table(spark, sf_dir, "customer").where("c_custkey % 2 = 0"), table(spark, sf_dir, "nation"))
-
-
 @query("""select c_custkey as value, 'c' as name, n_name as key from customer join nation on c_nationkey = n_nationkey union all select c_custkey, 'd', n_name from customer join nation on c_nationkey = n_nationkey""")
 def all_inverted_maps(spark, sf_dir):
     """JOIN-07, MAP-01: maps of rows as rows to look up in."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import html.parser
+import importlib
 import re
 from collections.abc import Iterator
 
@@ -30,10 +31,18 @@ def jsonl_tolerant(spark: SparkSession, path: str, schema: str) -> tuple[DataFra
     return rows.where("ok").select("row.*"), rows.where("not ok and trim(value) <> ''").select("file", "value")
 
 
-def json_arrays(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Files that each hold one JSON array, in folders of any depth; broken files are skipped."""
+def json_arrays(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of files that each hold one JSON array, in folders of any depth; and the files that hold none."""
     text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
-    return text.select(F.explode(F.from_json("value", f"array<struct<{schema}>>")).alias("row")).select("row.*")
+    rows = text.select(F.col("_metadata.file_path").alias("file"), F.from_json("value", f"array<struct<{schema}>>").alias("rows"), F.try_parse_json("value").alias("json"))
+    ok = F.col("json").isNotNull() & F.coalesce(F.schema_of_variant("json").startswith("ARRAY"), F.lit(False))
+    return rows.where(ok).select(F.explode("rows").alias("row")).select("row.*"), rows.where(~ok).select("file")
+
+
+def comma_lines(spark: SparkSession, path: str, containing: str, names: list[str]) -> DataFrame:
+    """Lines of text files that hold a mark, split at commas into named columns; missing ones are null, the last takes what is left."""
+    parts = F.split(F.col("value"), ",", len(names))
+    return spark.read.text(path).where(F.contains("value", F.lit(containing))).select(*[F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
 def csv(spark: SparkSession, path: str) -> DataFrame:
@@ -142,27 +151,45 @@ def seven_day_buckets(dates: DataFrame, start: str, end: str) -> DataFrame:
     return rows.select("bucket", F.date_add("d", F.col("bucket") * 7).alias("first_day"), F.date_add("d", F.col("bucket") * 7 + 6).alias("last_day"))
 
 
-class RowsSource(DataSource):
-    """A generator as a source: option 'rows' says how many, 'partitions' over how many tasks. spark.dataSource.register(RowsSource)."""
+class GeneratorSource(DataSource):
+    """A generator as a source. Options: 'generator' (module:function, called with a task's number and the number of tasks), 'partitions'.
+
+    spark.dataSource.register(GeneratorSource); spark.read.format("polyweave_generator").schema(...).option(...).load(). Rows are
+    tuples in the order of the schema. A task that is repeated calls the generator again, which has to give the same rows.
+    """
 
     @classmethod
     def name(cls) -> str:
-        return "polyweave_rows"
+        return "polyweave_generator"
 
     def schema(self) -> str:
         return "row_id bigint, text string"
 
     def reader(self, schema) -> DataSourceReader:
-        return _RowsReader(int(self.options.get("rows", 10)), int(self.options.get("partitions", 2)))
+        return _GeneratorReader(self.options.get("generator", f"{__name__}:numbered_rows"), int(self.options.get("partitions", 2)), dict(self.options))
+
+
+def numbered_rows(task: int, tasks: int, options: dict) -> Iterator[tuple]:
+    """As many numbered rows as the option 'rows' says."""
+    for i in range(task, int(options.get("rows", 10)), tasks):
+        yield i, f"row {i}"
 
 
-class _RowsReader(DataSourceReader):
-    def __init__(self, rows: int, parts: int):
-        self.rows, self.parts = rows, parts
+class _GeneratorReader(DataSourceReader):
+    def __init__(self, generator: str, parts: int, options: dict):
+        self.generator, self.parts, self.options = generator, parts, options
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(p) for p in range(self.parts)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        for i in range(partition.value, self.rows, self.parts):
-            yield i, f"row {i}"
+        module, _, function = self.generator.partition(":")
+        yield from getattr(importlib.import_module(module), function)(partition.value, self.parts, self.options)
+
+
+class RowsSource(GeneratorSource):
+    """numbered_rows under a name of its own."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "polyweave_rows"

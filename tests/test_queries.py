@@ -1,7 +1,7 @@
 import pytest
 from compare import assert_same
 
-from polyweave.plans import catalogue
+from polyweave.plans import catalogue, library  # noqa: F401
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
