@@ -326,8 +326,8 @@ def block_links(members: DataFrame, texts: DataFrame, weights, settings: Setting
     over tasks.
     """
     counts = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    large = staged(counts.where(F.col("n") > settings.split).select("group"), "large-groups")
-    if not large.isEmpty():
+    if (counts.agg(F.max("n")).first()[0] or 0) > settings.split:
+        large = staged(counts.where(F.col("n") > settings.split).select("group"), "large-groups")
         members = members.join(large, "group", "left_anti").unionByName(split_groups(members.join(large, "group", "left_semi"), texts, weights, settings))
     members = staged(members.join(texts.select("uid", F.octet_length("text").alias("bytes")), "uid"), "block-members")
     by_class = members.groupBy("group", "class").agg(F.count(F.lit(1)).alias("k"), F.sum("bytes").alias("bytes"))
