@@ -77,7 +77,12 @@ class Alignment:
         self.source, self.target = source, target
         sides = [[(n, t) for n, line in enumerate(lines) for t in tokenizer(line)] for lines in (source, target)]
         pairs = common_subsequence([t for _, t in sides[0]], [t for _, t in sides[1]])
-        self.hits = [(sides[0][i][0], sides[1][j][0], len(sides[0][i][1])) for i, j in pairs]
+        # Characters in common for each pair of lines.
+        shared: dict[tuple[int, int], int] = defaultdict(int)
+        for i, j in pairs:
+            line, token = sides[0][i]
+            shared[line, sides[1][j][0]] += len(token)
+        self.hits = [(i, j, n) for (i, j), n in shared.items()]
         sizes = [[0] * len(lines) for lines in (source, target)]
         for side, size in zip(sides, sizes):
             for n, t in side:
