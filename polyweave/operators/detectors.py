@@ -98,14 +98,43 @@ def offline(labels: DataFrame, key: str = "record") -> Detector:
     return run
 
 
+class AnswerError(Exception):
+    """What an outside function raises where asking again may help; other exceptions end the job."""
+
+
+class NoAnswer(Exception):
+    """An outside function failed as often as it may be asked."""
+
+
+def asked(complete: Callable[[str], str], attempts: int, good: Callable[[str, str], bool] = lambda text, answer: True) -> Callable[[str], str]:
+    """complete, asked again where it raises AnswerError or gives no good answer; answers are kept, so a text is paid for once in a task."""
+    known: dict[str, str] = {}
+
+    def ask(text: str) -> str:
+        for _ in range(attempts if text not in known else 0):
+            try:
+                answer = complete(text)
+            except AnswerError:
+                continue
+            if good(text, answer):
+                known[text] = answer
+                break
+        if text not in known:
+            raise NoAnswer(f"no good answer in {attempts} attempts to a text that begins with {text[:60]!r}")
+        return known[text]
+
+    return ask
+
+
 @register("batch")
-def batch(complete: Callable[[str], str], limit: int = 256, least: float = 0.6) -> Detector:
+def batch(complete: Callable[[str], str], limit: int = 256, least: float = 0.6, attempts: int = 1, good: Callable[[str, str], bool] = lambda text, answer: True) -> Detector:
     """Asks an outside function to join the lines of one batch after another, and aligns its answer with the lines.
 
-    The next batch starts where the answer's last whole paragraph ended. A line over the limit is a batch of its own.
+    The next batch starts where the answer's last whole paragraph ended. A line over the limit is a batch of its own. attempts and
+    good are those of asked.
     """
 
-    def flags(ls: list[str]) -> list[bool]:
+    def flags(ls: list[str], complete: Callable[[str], str]) -> list[bool]:
         hard, at = [True] * max(0, len(ls) - 1), 0
         while at < len(ls):
             end, load = at, 0
@@ -126,8 +155,9 @@ def batch(complete: Callable[[str], str], limit: int = 256, least: float = 0.6)
         kept = [c for c in df.columns if c != "detected"]
 
         def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ask = asked(complete, attempts, good)
             for b in batches:
-                yield b.assign(detected=[flags(list(x)) for x in b["lines"]])
+                yield b.assign(detected=[flags(list(x), ask) for x in b["lines"]])
 
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*kept).schema) + ", detected array<boolean>"
         return df.select(*kept).mapInPandas(rows, schema)

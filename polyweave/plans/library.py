@@ -345,6 +345,22 @@ def salvaged_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.get_json_object(x, "$.k").alias("k"), (R.salvaged_json(F.lit('{"a"')).isNull() & x.isNotNull()).alias("whole"))
 
 
+@query(r"""
+with p as (select source, doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i from documents),
+m as (select source, doc_id, i, case when i % 3 = 0 then '' else regexp_replace(line, '^\s+|\s+$', '', 'g') end as zh, regexp_replace(regexp_replace(line, '^\S+ ?', ''), '^\s+|\s+$', '', 'g') as en,
+  regexp_replace('fr ' || line, '^\s+|\s+$', '', 'g') as fr from p),
+k as (select * from m where len(list_distinct(list_filter([zh, en, fr], lambda x: x <> ''))) > 1 qualify row_number() over (partition by source, zh, en, fr order by doc_id, i) = 1),
+n as (select *, row_number() over (partition by source, zh order by doc_id, i) > 1 as again from k)
+select source as "文件名", count(*) as "段落数", count(*) filter (again) as "去重段落数", count(*) filter (zh = '' or en = '') as "低质量段落数" from n group by source
+""")
+def file_counts(spark, sf_dir):
+    """AGG-01..04, FLT-01: counts of files in three languages, of which every third paragraph lacks the first."""
+    rows = L.to_lines(documents(spark, sf_dir).select(F.struct("source", "doc_id").alias("k"), "text"), key="k").select(F.col("k.source").alias("文件名"), "k.doc_id", "line_id", "line")
+    texts = {"zh_text": F.when(F.col("line_id") % 3 == 0, "").otherwise(F.col("line")), "en_text": F.regexp_replace("line", r"^\S+ ?", ""), "fr_text": F.concat(F.lit("fr "), "line")}
+    rows = rows.withColumns(texts | {"扩展字段": F.lit("{}"), "时间": F.lit("")}).drop("line")
+    return R.normalise(rows, list(texts), ["doc_id", "line_id"], F.floor(F.col("doc_id") / 256)).select("文件名", "段落数", "去重段落数", "低质量段落数").distinct()
+
+
 # relations
 
 

@@ -1,13 +1,17 @@
 """The library's queries without SQL against brute force, hostile rows of the operators, and round trips of files and streams."""
 
+import collections
+import difflib
+import itertools
 import json
 import random
+import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from polyweave.operators import align, blocks, frontier, joiners, lines, records, relations
+from polyweave.operators import align, blocks, detectors, frontier, joiners, lines, records, relations
 from polyweave.plans import catalogue, library
 from polyweave.sources import readers, writers
 from polyweave.streaming import events as E
@@ -129,6 +133,121 @@ def test_subsequence_is_the_earliest():
     assert len(align.common_subsequence(["x", *words], other)) == len(other) and time.process_time() - began < 20
 
 
+def groups_of(ls, hard):
+    ends = [i for i in range(len(ls)) if i == len(ls) - 1 or hard[i]]
+    return [list(range(a + 1, b + 1)) for a, b in zip([-1, *ends], ends)]
+
+
+def test_alignment_queries(spark, made):
+    given, got = wrapped_lines(spark, made), {}
+    for r in rows(spark, made, "align_n_to_m"):
+        got.setdefault(r.doc_id, []).append((r.clean_para_index_set_pair, r.src_text, r.dst_text))
+        assert r.src_rate > 0.99 and r.dst_rate > 0.99
+    for i, (ls, hard) in given.items():
+        lines_ = [x for x in DOCS[i].split("\n") if x.strip()]
+        assert sorted(got[i]) == sorted((f"{k}|{','.join(map(str, g))}", lines_[k], "\n".join(ls[j] for j in g)) for k, g in enumerate(groups_of(ls, hard)))
+    assert all((r.source_unmatched, r.target_unmatched) == ([], []) for r in rows(spark, made, "unmatched_paragraphs"))
+
+
+def test_batches_and_matches(spark, made):
+    given, got = wrapped_lines(spark, made), {}
+    for r in rows(spark, made, "greedy_batches"):
+        got.setdefault(r.doc_id, {})[r.batch] = r.members
+    for i, (ls, _) in given.items():
+        out, open_, load = [], [], 0.0
+        for k, x in enumerate(ls):
+            w = len(x.split()) * (100 / 75)
+            if load + w > 200:
+                if open_:
+                    out.append([*open_, k])
+                open_, load = [k], w
+            else:
+                open_, load = [*open_, k], load + w
+        assert list(got[i].values()) == out + ([open_] if open_ else [])
+    for r in rows(spark, made, "near_break_match"):
+        true, drift, want = [i for i, h in enumerate(given[r.doc_id][1]) if h], 0, []
+        for p in (t + 1 for t in true):
+            near = [(abs(t - p - drift), t) for t in true if abs(t - p - drift) <= 5]
+            want.append(min(near)[1] if near else None)
+            drift = want[-1] - p if near else drift
+        assert r.matched == want
+
+
+def brute_headers(documents):
+    """The rule of header removal over documents by record: doc to its pages' texts."""
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+    frequent = lambda n, pages: pages >= 3 and n >= pages - 1 or pages >= 5 and n > 0.666 * pages
+    out = {}
+    for record in {i // 4 for i in documents}:
+        own = {i: p for i, p in documents.items() if i // 4 == record}
+        tokens = {i: collections.Counter(t for p in pages for t in p[:100].split()) for i, pages in own.items()}
+        total, count = sum(tokens.values(), collections.Counter()), sum(map(len, own.values()))
+        everywhere = {t for t, n in total.items() if n > count // 2 and n > 1}
+        for i, pages in own.items():
+            n = len(pages)
+            noisy = everywhere | {t for t, c in tokens[i].items() if 3 <= c <= n and frequent(c, n)}
+            digests = collections.Counter(d for p in pages for x in p[:100].split("\n") if (d := "".join(x.split())))
+            similar = {d: sum(c for e, c in digests.items() if ratio(d, e) > 0.72) for d in digests}
+            offsets = collections.Counter(o for k, p in enumerate(pages) for o in {int(x) - k for x in re.findall(r"\d+", p[:100]) if str(int(x)) == x} if -9 <= o <= 2)
+            best = min(offsets, key=lambda o: (-offsets[o], o), default=None)
+            offset = best if best is not None and offsets[best] >= n // 2 else None
+            for k, p in enumerate(pages):
+                kept = []
+                for x in p[:100].split("\n"):
+                    d = "".join(x.split())
+                    if d and frequent(similar[d], n):
+                        continue
+                    good = lambda t: t not in noisy and not (offset is not None and re.match(r"^\d+(?:$|/\d+)", t) and str(k + offset) in re.findall(r"\d+", t))  # noqa: B023, E731
+                    kept.append(" ".join(itertools.dropwhile(lambda t: not good(t), x.split())))
+                gap = " " if re.search(r"[^\S\n]\Z", p[:100]) else ""
+                out[i, k] = ("\n".join(kept) + gap + p[100:]).split("__________")[0].strip()
+    return out
+
+
+def test_header_removal_query(spark, made):
+    pages = {}
+    for r in catalogue.pages_of(spark, made).orderBy("page_id").collect():
+        pages.setdefault(r.doc_id, []).append(r.page)
+    assert {(r.doc_id, r.page_id): r.page for r in rows(spark, made, "header_removal")} == brute_headers(pages)
+
+
+def test_rule_based_query(spark, made):
+    def score(a, b):
+        if not a.strip() or not b.strip():
+            return 1
+        if re.match(r"^\d{1,3}\. ", b.strip()):
+            return -1
+        simple = (-44 if a[-1] in ".?!;" else 81 if a[-1] == "," else 0) + min(60, len(a)) - 32 + (83 if b[0].islower() else 0)
+        found = detectors.split_sentences(f"{a[-100:]} {b[:100]}")
+        if len(found) <= 1:
+            return simple + 200
+        return simple - int((max(difflib.SequenceMatcher(lambda c: c == " ", s, b[:100]).ratio() for s in found) - 0.6) * 666.7)
+
+    given = {i: x for i, x in wrapped_lines(spark, made).items() if len(x[0]) > 1}
+    got = {r.doc_id: (r.TP, r.FN, r.FP, r.TN) for r in rows(spark, made, "rule_based_breaks")}
+    assert set(got) == set(given)
+    for i, (ls, hard) in given.items():
+        found = [score(a, b) <= 0 for a, b in itertools.pairwise(ls)]
+        assert got[i] == tuple(sum(t == x and f == y for t, f in zip(hard, found)) for x, y in ((True, True), (True, False), (False, True), (False, False)))
+
+
+def test_asking_again():
+    told = []
+
+    def complete(text):
+        told.append(text)
+        if len(told) < 3:
+            raise detectors.AnswerError("busy")
+        return "" if len(told) == 3 else text.upper()
+
+    ask = detectors.asked(complete, 5, lambda text, answer: bool(answer))
+    assert ask("a") == "A" and ask("a") == "A" and len(told) == 4
+    with pytest.raises(detectors.NoAnswer):
+        detectors.asked(lambda text: "", 2, lambda text, answer: bool(answer))("a")
+    with pytest.raises(ZeroDivisionError):
+        detectors.asked(lambda text: 1 / 0, 2)("a")
+
+
 def test_language_blocks_by_reachability(spark, made):
     got = {}
     for r in rows(spark, made, "language_blocks"):
