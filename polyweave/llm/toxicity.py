@@ -7,8 +7,9 @@ In a word only its heaviest entry counts; hits inside an exception phrase don't.
 
 Defined results: null text counts as empty and gets the curve's value at no match; without usable labels every score is the
 prior, 0; null doc_id is not held out and has no label; of several labels for one document the highest counts; repeated rows
-are each scored; an empty table gives an empty result; further columns are ignored. What the driver gathers: at most
-SAMPLE labels, MOST_ENTRIES entries, and three numbers for each sampled document.
+are each scored, and of several texts with one labelled doc_id the curve is fitted to the one that matches most; an empty table
+gives an empty result; further columns are ignored. What the driver gathers: at most SAMPLE labels, MOST_ENTRIES entries, and
+three numbers for each sampled label.
 """
 
 from __future__ import annotations
@@ -142,7 +143,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(Lexicon({}), None)
     chosen = F.broadcast(spark.createDataFrame(sample, usable.schema))
     # At most SAMPLE documents, read by a broadcast join: no text is shuffled.
-    labelled = docs.select("doc_id", text_of("text").alias("text")).join(chosen, "doc_id").select("text", "toxic")
+    labelled = docs.select("doc_id", text_of("text").alias("text")).join(chosen, "doc_id").select("doc_id", "text", "toxic")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Counter(), Counter()
@@ -171,9 +172,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [shared.value.features(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *[pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]], names=["toxic", "a", "b", "c"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *[pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]], names=["doc_id", "toxic", "a", "b", "c"])
 
-    rows = labelled.mapInArrow(features, "toxic int, a double, b double, c double").collect()
+    measured = labelled.mapInArrow(features, T.StructType([docs.schema["doc_id"], T.StructField("toxic", T.IntegerType()), *[T.StructField(c, T.DoubleType()) for c in "abc"]]))
+    # One row for each label, however many rows have its doc_id; the one with the most matches.
+    rows = measured.groupBy("doc_id").agg(F.max(F.struct("toxic", "a", "b", "c")).alias("m")).select("m.*").collect()
     if len({r[0] for r in rows}) < 2:
         return Model(lexicon, None)
     table = np.array(sorted(map(tuple, rows)), dtype=float)

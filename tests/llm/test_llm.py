@@ -787,6 +787,16 @@ def test_repeated_rows_keep_the_lexicon(spark):
     assert all(m.score("you zoxxer") > 0.5 > m.score("you there") for m in (once, thrice))
 
 
+def test_the_curve_takes_one_row_for_each_label(spark, monkeypatch):
+    texts = [(i, f"zoxxer {i}" if i % 3 == 0 else f"fine words {i}") for i in range(60)]
+    docs = spark.createDataFrame([*texts, *[(0, f"zoxxer again {k}") for k in range(500)]], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i, _ in texts], "doc_id bigint, quality int, toxic int")
+    fitted, fit = [], toxicity.fit_curve
+    monkeypatch.setattr(toxicity, "fit_curve", lambda x, y: fitted.append(len(x)) or fit(x, y))
+    assert toxicity.learn(docs, labels).score("you zoxxer") > 0.5
+    assert fitted == [sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in texts)]
+
+
 def naive_features(lexicon, text):
     """The same features without an automaton: every entry and phrase is looked for at every place."""
     folded = " ".join(["", *toxicity.fold(text).split(), ""])
