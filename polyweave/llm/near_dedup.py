@@ -416,10 +416,14 @@ def verified(pairs: DataFrame, texts: DataFrame, weights, settings: Settings) ->
 def components(links: DataFrame) -> DataFrame:
     """uid, class: the smallest uid that links(a, b) connect it with. Links are drawn to ever smaller neighbours until only stars are left."""
     links = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    # Rounds end when the set of links no longer changes: its size and two sums over hashes of its members.
-    state = lambda x: x.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
-    before = state(links)
-    while True:
+
+    def stars() -> bool:
+        """Has every node either one smaller neighbour that has none itself, or none? Then the smaller ones are the classes."""
+        ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))).alias("e")).select("e.*")
+        nodes = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+        return nodes.where("ups > 1 or (ups = 1 and least = 0)").count() == 0
+
+    while not stars():
         # large star: larger neighbours go to the smallest of the neighbourhood
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "large-least")
@@ -427,12 +431,9 @@ def components(links: DataFrame) -> DataFrame:
         # small star: smaller neighbours, and the node itself, go to the smallest of them
         least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "small-least")
         fresh = staged(large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "small-star")
-        after = state(fresh)
         dropped(links, nearest, large, least)
         links = fresh
-        if after == before:
-            return links.select(F.col("u").alias("uid"), F.col("v").alias("class"))
-        before = after
+    return links.select(F.col("u").alias("uid"), F.col("v").alias("class"))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
