@@ -253,12 +253,12 @@ def _of_tokenizer_file(file: str) -> tuple[dict[bytes, int], dict[str, int]]:
 class Codec:
     """Encodes and decodes as the library does: tiktoken with a rank file, or tokenizers with its JSON file."""
 
-    def __init__(self, file: str, library: str = "tiktoken"):
+    def __init__(self, file: str, library: str = "tiktoken", kept: int = 600_000):
         self.ranks, special = (_of_rank_file if library == "tiktoken" else _of_tokenizer_file)(file)
         self.special = {k: struct.pack("<I", v) for k, v in special.items()}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")").split if special else None
         self.classes = classes_of_tiktoken() if library == "tiktoken" else classes_of_tokenizers()
-        self.merged = Merged(_compiled_merge(self.ranks))
+        self.merged = Merged(_compiled_merge(self.ranks), kept)
         pieces = sorted(self.ranks, key=self.ranks.get)
         numbers = np.array([self.ranks[p] for p in pieces])
         self.lengths = np.zeros(numbers[-1] + 1, dtype=np.int64)
@@ -303,18 +303,22 @@ class Codec:
 
 
 @functools.cache
-def codec(file: str, library: str = "tiktoken") -> Codec:
-    """One codec for each process and file, so that its cache serves all tasks of a worker."""
-    return Codec(file, library)
+def codec(file: str, library: str = "tiktoken", kept: int = 600_000) -> Codec:
+    """One codec for each process and file, so that its cache (of so many pieces at most) serves all tasks of a worker."""
+    return Codec(file, library, kept)
 
 
 def in_runs(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Stretches of a batch of so many characters at most, or one text."""
+    return runs_of([len(t) for t in texts], most)
+
+
+def runs_of(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     first = size = 0
-    for i, t in enumerate(texts):
-        if i > first and size + len(t) > most:
+    for i, n in enumerate(sizes):
+        if i > first and size + n > most:
             yield first, i
             first, size = i, 0
-        size += len(t)
-    if first < len(texts):
-        yield first, len(texts)
+        size += n
+    if first < len(sizes):
+        yield first, len(sizes)

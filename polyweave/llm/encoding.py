@@ -2,7 +2,7 @@
 
 Defined results: null text counts as empty and has no ids; ids decode to the text's very bytes; null doc_id and repeated
 rows pass through; an empty table gives an empty result; further columns are ignored. Batches are cut into stretches of
-about a million characters, so memory follows the longest single text.
+a quarter million characters, and a stretch's texts become strings when its turn comes, so memory follows the longest single text.
 """
 
 from __future__ import annotations
@@ -11,12 +11,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import bpe
 from .common import text_of
 
+#: Characters of a stretch, and pieces that a worker's cache holds: several workers share an executor's memory.
+STRETCH, KEPT = 250_000, 150_000
+
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     offsets = np.zeros(len(parts) + 1, dtype=np.int32)
@@ -29,11 +33,11 @@ def encode_documents(docs: DataFrame, rank_file: str) -> DataFrame:
     schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("piece_starts", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = bpe.codec(rank_file)
+        codec = bpe.codec(rank_file, kept=KEPT)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in bpe.in_runs(texts):
-                packed, starts = zip(*codec.encode(texts[a:b]))
+            texts = batch.column("text")
+            for a, b in bpe.runs_of(pc.utf8_length(texts).to_pylist(), STRETCH):
+                packed, starts = zip(*codec.encode(texts.slice(a, b - a).to_pylist()))
                 ids = [np.frombuffer(p, dtype=np.uint32) for p in packed]
                 columns = [batch.column("doc_id").slice(a, b - a), _lists(ids), _lists(list(starts)), pa.array([codec.decode(i) for i in ids], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "piece_starts", "decoded"])

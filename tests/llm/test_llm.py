@@ -10,9 +10,11 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers as P
 from compare import assert_same
@@ -409,6 +411,22 @@ def test_encode_query(spark, sf, odd, none, encoder):
     assert encoding.encode_documents(odd, queries.RANK_FILE).count() == len(ODD) and encoding.encode_documents(none, queries.RANK_FILE).count() == 0
 
 
+def test_a_worker_encodes_a_full_batch_in_little_memory(spark, monkeypatch):
+    """10,000 texts, 500,000 different pieces: what the worker holds besides the batch follows a stretch, not the batch."""
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    with monkeypatch.context() as m:
+        m.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+        run = encoding.encode_documents(docs, queries.RANK_FILE)
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(10_000), "text": [" ".join(f"{chr(97 + k % 26)}{i * 50 + k:x}q" for k in range(50)) + "é" for i in range(10_000)]})
+    assert sum(b.num_rows for b in run(iter([batch.slice(0, 1)]))) == 1
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in run(iter([batch]))) == 10_000
+        assert tracemalloc.get_traced_memory()[1] < 50e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_edited_counts(spark, odd, none, encoder):
     rng = random.Random(7)
     rows, after = [], []
