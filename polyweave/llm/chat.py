@@ -11,8 +11,8 @@ assistant text in the output.
 Defined results: null role and text count as empty, a null score as 0; a message whose parent is not in its tree is a root; a
 cycle of replies is broken at its smallest message, which becomes a root; of rows with one tree and message the smallest
 (parent, role, text, score) counts, and rows without tree or message none; equal scores are ranked by leaf. chains makes each
-of a conversation's rows a turn of its own, repeated ones too. An empty table gives an empty result; further columns are
-ignored. A conversation is one output row, so its size is bounded by what one row holds.
+of a conversation's rows a turn of its own, repeated ones too; those without a conv_id are one conversation, and without a turn
+they come last. An empty table gives an empty result; further columns are ignored. A conversation is one output row, so its size is bounded by what one row holds.
 """
 
 from __future__ import annotations
@@ -102,10 +102,12 @@ def single(messages: DataFrame) -> DataFrame:
 def format_trees(messages: DataFrame, branches: int = 1, repeated: bool = True) -> DataFrame:
     """Of messages(tree, message, parent, role, text, score): tree, leaf, rank, score, formatted and loss_spans (start, length; from 0).
 
-    repeated: rows with one tree and message may occur; without, the caller says that there are none.
+    repeated: rows with one tree and message may occur; without, the caller says that there are none, and null is a tree too.
     """
     if repeated:
         messages = staged(single(messages), "messages")
+    # As a field, a null tree meets itself in joins.
+    messages = messages.withColumn("tree", F.struct("tree"))
     steps = paths(messages)
     best = chosen(steps, messages, branches)
     said = messages.select("tree", "message", escape(text_of("role")).alias("said_role"), escape(text_of("text")).alias("said_text"), (text_of("role") == "assistant").alias("loss"))
@@ -116,12 +118,12 @@ def format_trees(messages: DataFrame, branches: int = 1, repeated: bool = True)
     turn = F.struct((-F.col("distance")).alias("at"), written.alias("written"), "loss", (F.col("end") - 4 - F.length("said_text")).cast("int").alias("start"), F.length("said_text").alias("length"))
     talks = steps.join(best, ["tree", "leaf"]).join(said, ["tree", "message"]).withColumn("end", end).groupBy("tree", "leaf", "rank", "score").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     spans = F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length")))
-    return talks.select("tree", "leaf", "rank", "score", F.array_join(F.transform("turns", lambda t: t["written"]), "").alias("formatted"), spans.alias("loss_spans"))
+    return talks.select("tree.tree", "leaf", "rank", "score", F.array_join(F.transform("turns", lambda t: t["written"]), "").alias("formatted"), spans.alias("loss_spans"))
 
 
 def chains(rows: DataFrame) -> DataFrame:
     """Rows by turn as reply trees with one branch: each row replies to the one before it."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), text_of("role"), text_of("text"))
     numbered = rows.select("conv_id", "turn", "role", "text").withColumn("message", F.row_number().over(order).cast("long"))
     return numbered.select(F.col("conv_id").alias("tree"), "message", (F.col("message") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 

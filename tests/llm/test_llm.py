@@ -7,6 +7,7 @@ import hashlib
 import html.parser
 import json
 import math
+import os
 import random
 import re
 import time
@@ -17,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import public_tokenizers as P
-from compare import assert_same
+from compare import assert_same, oracle
 from pyspark.sql import functions as F
 
 from polyweave.llm import bpe, chat, encoding, exact_dedup, near_dedup, packing, quality, queries, secrets, token_counts, toxicity, warc
@@ -653,6 +654,18 @@ def test_long_chain_and_hostile_texts(spark):
     assert chat.format_trees(chat.chains(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string"))).count() == 0
 
 
+def test_rows_without_conversation_or_turn(spark, sf, tmp_path):
+    """Those without a conv_id are one conversation, also a long one; those without a turn come last."""
+    for path in os.listdir(sf):
+        if path != "conversations.parquet":
+            os.symlink(f"{sf}/{path}", tmp_path / path)
+    rows = [(None, t, "assistant" if t % 2 else "user", f"text {t}") for t in range(9)] + [(1, None, "assistant", "last"), (1, 0, "user", "first"), (1, 3, None, None), (1, 3, "", "x"), (2, None, None, None)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = queries.op9_chat_formatting(spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in got} == set(oracle(tmp_path).sql(chat.ORACLE).fetchall())
+    assert {r.conv_id: r.n_turns for r in got} == {None: 9, 1: 4, 2: 1, -1: 2} and len(got) == 4
+
+
 # WARC
 
 
