@@ -51,7 +51,9 @@ def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = encoding.encode_documents(table(spark, sf_dir, "documents"), RANK_FILE)
     # Written as one JSON text: an array of strings would be an object on the heap for each id.
-    written = F.replace(F.btrim(F.to_json("ids"), F.lit("[]")), F.lit(","), F.lit(" "))
+    written = F.to_json("ids")
+    for mark, instead in (("[", ""), ("]", ""), (",", " ")):
+        written = F.replace(written, F.lit(mark), F.lit(instead))
     return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), F.size("piece_starts").cast("long").alias("n_pieces"),
