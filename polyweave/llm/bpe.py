@@ -235,6 +235,24 @@ class Merged(dict):
         return out
 
 
+class Aged(Merged):
+    """Bounded by two generations: the younger one, full, becomes the older one, whose pieces come back when they are asked for."""
+
+    def __init__(self, merge, most: int, longest: int = 40):
+        super().__init__(merge, most // 2, longest)
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        out = self.older.get(piece)
+        if out is None:
+            return super().__missing__(piece)
+        self[piece] = out
+        return out
+
+
 def _of_rank_file(file: str) -> tuple[dict[bytes, int], dict[str, int]]:
     with open(file, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, {}
@@ -251,14 +269,17 @@ def _of_tokenizer_file(file: str) -> tuple[dict[bytes, int], dict[str, int]]:
 
 
 class Codec:
-    """Encodes and decodes as the library does: tiktoken with a rank file, or tokenizers with its JSON file."""
+    """Encodes and decodes as the library does: tiktoken with a rank file, or tokenizers with its JSON file.
+
+    own: pieces are merged by merge, and kept of them stay at most; without, by the library's compiled loop.
+    """
 
-    def __init__(self, file: str, library: str = "tiktoken", kept: int = 600_000):
+    def __init__(self, file: str, library: str = "tiktoken", own: bool = False, kept: int = 600_000):
         self.ranks, special = (_of_rank_file if library == "tiktoken" else _of_tokenizer_file)(file)
         self.special = {k: struct.pack("<I", v) for k, v in special.items()}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")").split if special else None
         self.classes = classes_of_tiktoken() if library == "tiktoken" else classes_of_tokenizers()
-        self.merged = Merged(_compiled_merge(self.ranks), kept)
+        self.merged = Aged(functools.partial(merge, ranks=self.ranks), kept) if own else Merged(_compiled_merge(self.ranks), kept)
         pieces = sorted(self.ranks, key=self.ranks.get)
         numbers = np.array([self.ranks[p] for p in pieces])
         self.lengths = np.zeros(numbers[-1] + 1, dtype=np.int64)
@@ -303,9 +324,9 @@ class Codec:
 
 
 @functools.cache
-def codec(file: str, library: str = "tiktoken", kept: int = 600_000) -> Codec:
-    """One codec for each process and file, so that its cache (of so many pieces at most) serves all tasks of a worker."""
-    return Codec(file, library, kept)
+def codec(file: str, library: str = "tiktoken", own: bool = False, kept: int = 600_000) -> Codec:
+    """One codec for each process and file, so that its cache serves all tasks of a worker."""
+    return Codec(file, library, own, kept)
 
 
 def in_runs(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, int]]:

@@ -19,7 +19,7 @@ from . import bpe
 from .common import text_of
 
 #: Characters of a stretch, and pieces that a worker's cache holds: several workers share an executor's memory.
-STRETCH, KEPT = 250_000, 150_000
+STRETCH, KEPT = 250_000, 250_000
 
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
@@ -33,7 +33,7 @@ def encode_documents(docs: DataFrame, rank_file: str) -> DataFrame:
     schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("piece_starts", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = bpe.codec(rank_file, kept=KEPT)
+        codec = bpe.codec(rank_file, own=True, kept=KEPT)
         for batch in batches:
             texts = batch.column("text")
             for a, b in bpe.runs_of(pc.utf8_length(texts).to_pylist(), STRETCH):

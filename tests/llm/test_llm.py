@@ -428,6 +428,22 @@ def test_a_worker_encodes_a_full_batch_in_little_memory(spark, monkeypatch):
         tracemalloc.stop()
 
 
+def test_documents_are_encoded_by_our_own_merge(spark, monkeypatch, encoder):
+    """No piece goes to the library's merge, and a cache of two small generations gives the same ids."""
+    docs, bpe_codec = spark.createDataFrame([], "doc_id bigint, text string"), bpe.codec.__wrapped__
+    given = random_texts() * 2
+    with monkeypatch.context() as m:
+        m.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+        m.setattr(bpe, "_compiled_merge", lambda ranks: pytest.fail)
+        m.setattr(bpe, "codec", bpe_codec)
+        m.setattr(encoding, "KEPT", 20)
+        batch = pa.RecordBatch.from_pydict({"doc_id": range(len(given)), "text": given})
+        got = [ids for b in encoding.encode_documents(docs, queries.RANK_FILE)(iter([batch])) for ids in b.column("ids").to_pylist()]
+    assert got == [encoder.encode_ordinary(t) for t in given]
+    cache = bpe.Aged(lambda piece: list(piece), 20)
+    assert all(cache[f"{i % 37}"] and len(cache) + len(cache.older) <= 20 for i in range(500))
+
+
 def test_edited_counts(spark, odd, none, encoder):
     rng = random.Random(7)
     rows, after = [], []
